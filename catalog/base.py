@@ -9,6 +9,7 @@ of an item the ``pages`` row; their vectors are the ``embeddings`` rows. The wor
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from matchloom.functions.vectors import abs_cosine
 from matchloom.operators.ranking import cross_top_k
 from matchloom.operators.sampling import attach_vectors
 from matchloom.operators.support import use_checkpoint_dir
-from matchloom.sources.tables import read_table
-from matchloom.sources.word_vectors import STOP_WORDS, parse_word_vectors
+from matchloom.schemas import RAW_APPLICATIONS, RAW_INTERACTIONS
+from matchloom.sources.tables import read_table, write_table
+from matchloom.sources.word_vectors import STOP_WORDS, load_word_vectors
 
 WORD_DIM = 8
 EMBEDDING_DIM = 64
@@ -39,6 +41,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 SHIFT = 3e-8  # mean word vectors are often exact decimal halves, which engines round differently
 
 
+_paths: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of an input derived from the given tables, written once per application."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _paths:
+        path = scratch_path(spark, name)
+        write(path)
+        _paths[key] = path
+    return _paths[key]
+
+
+def _stored_table(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> str:
+    files = spark.sparkContext.defaultParallelism
+    return _stored(spark, sf, name, lambda path: write_table(build(), path, files))
+
+
 def spread(vec: str, prefix: str, dim: int) -> list[Column]:
     """A vector as one column per element, moved off the halves and rounded."""
     return [rounded(F.get(F.col(vec), F.lit(i)) + F.lit(SHIFT)).alias(f"{prefix}{i}") for i in range(dim)]
@@ -90,6 +110,15 @@ pairs AS (
 
 
 def raw_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored raw table of the click layout."""
+    return read_table(spark, raw_clicks_path(spark, sf), RAW_INTERACTIONS)
+
+
+def raw_clicks_path(spark: SparkSession, sf: str) -> str:
+    return _stored_table(spark, sf, "raw-clicks", lambda: build_raw_clicks(spark, sf))
+
+
+def build_raw_clicks(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines in the click layout; documents are missing where no row has the number."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("userId"), "text")
     html = table(spark, sf, "pages").select(F.col("page_id").alias("itemId"), "html")
@@ -118,6 +147,15 @@ raw_clicks AS (
 
 
 def raw_applications(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored raw table of the application layout."""
+    return read_table(spark, raw_applications_path(spark, sf), RAW_APPLICATIONS)
+
+
+def raw_applications_path(spark: SparkSession, sf: str) -> str:
+    return _stored_table(spark, sf, "raw-applications", lambda: build_raw_applications(spark, sf))
+
+
+def build_raw_applications(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines in the application layout; the URL of a user is that of its page."""
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("itemId"), "p_name")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("userId"), "text")
@@ -228,8 +266,13 @@ def word_vector_lines(spark: SparkSession, sf: str) -> DataFrame:
     return words.select(F.concat_ws(" ", "word", *numbers).alias("value"))
 
 
+def word_vector_file(spark: SparkSession, sf: str) -> str:
+    """The dictionary as the text file that jobs are given."""
+    return _stored(spark, sf, "word-vectors", lambda path: word_vector_lines(spark, sf).write.text(path))
+
+
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_word_vectors(word_vector_lines(spark, sf))
+    return load_word_vectors(spark, word_vector_file(spark, sf))
 
 
 SQL_IS_TOKEN = "(length(word) > 1 OR strlen(word) > 3)"
@@ -255,10 +298,12 @@ def sql_doc_vectors(name: str, source: str, key: str, doc: str) -> str:
   SELECT {key}, any_value(n) AS n, {sums} FROM {name}_tokens JOIN word_vectors USING (word) GROUP BY {key})"""
 
 
-def sql_vectorised(raw: str, user: str, item: str, body: str, description: str, label: str) -> str:
+def sql_vectorised(
+    raw: str, user: str, item: str, body: str, description: str, label: str, distinct: str = "DISTINCT"
+) -> str:
     """CTEs from a raw CTE to ``vectorised(userId, itemId, label, userKey, itemKey)`` and ``doc_vec``."""
     return f"""prepared AS (
-  SELECT DISTINCT * FROM (
+  SELECT {distinct} * FROM (
     SELECT {user} AS "userId", {item} AS "itemId", {body} AS "userDoc",
            regexp_replace({description}, '<.*?>', '', 'g') AS "itemDoc", {label} AS label FROM {raw})
   WHERE "userId" IS NOT NULL AND "itemId" IS NOT NULL AND label IS NOT NULL

@@ -89,7 +89,7 @@ def split_documents(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def docs_with_known_word(docs: DataFrame, word_vectors: DataFrame, key: str, doc: str) -> DataFrame:
     """Keys of the documents that hold at least one word of the dictionary."""
-    words = docs.select(key, F.explode(F.array_distinct(text.tokens(F.col(doc)))).alias("word"))
+    words = docs.select(key, F.explode_outer(F.array_distinct(text.tokens(F.col(doc)))).alias("word"))
     return lookup_join(words, word_vectors.select("word"), "word", row_bytes=80).select(key).distinct()
 
 

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchloom.functions import vectors
-
-TILE_ROWS = 2048  # users and items per tile; a tile is 2048 x 2048 scores, 32 MB of doubles
+from matchloom.operators.nearest import BROADCAST_BYTES, TILE_ROWS, best_candidates
 
 
 def rank_in_user(df: DataFrame, k: int, user: str = "userId", score: str = "score") -> DataFrame:
@@ -46,101 +40,24 @@ def label_ranked(ranked: DataFrame, indexed: DataFrame) -> DataFrame:
     return ranked.join(indexed, ["userId", "itemId"], "left")
 
 
-def _tiles(df: DataFrame, id_col: str, vec_col: str, parts: int, side: str) -> DataFrame:
-    """Rows gathered into ``parts`` bounded tiles: an id list and one flat vector list."""
-    tile = F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int")
-    row = F.struct(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    packed = df.select(tile.alias(f"{side}Tile"), row.alias("row")).groupBy(f"{side}Tile").agg(
-        F.collect_list("row").alias("rows")
-    )
-    return packed.select(
-        f"{side}Tile",
-        F.col("rows.id").alias(f"{side}Ids"),
-        F.flatten(F.col("rows.vec")).alias(f"{side}Vecs"),
-        F.array_max(F.transform("rows", lambda r: F.size(r["vec"]))).alias(f"{side}Width"),
-        F.array_min(F.transform("rows", lambda r: F.size(r["vec"]))).alias(f"{side}Least"),
-    )
-
-
-def _best_of_tiles(k: int, digits: int):
-    """Task function: scores of each tile pair by one matrix product, best k per user kept."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        import pyarrow as pa
-
-        def matrix(row, side, at):
-            width = row.column(f"{side}Width")[at].as_py()
-            if width != row.column(f"{side}Least")[at].as_py():
-                raise ValueError("vectors differ in size")
-            flat = row.column(f"{side}Vecs")[at].values.to_numpy(zero_copy_only=False)
-            return flat.reshape(-1, width), width
-
-        def unit(rows):
-            norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-            return np.divide(rows, norms, out=np.full_like(rows, np.nan), where=norms > 0)
-
-        for batch in batches:
-            for at in range(batch.num_rows):
-                users, width = matrix(batch, "user", at)
-                items, item_width = matrix(batch, "item", at)
-                if width != item_width:
-                    raise ValueError("vectors differ in size")
-                scores = np.round(np.abs(unit(users) @ unit(items).T), digits)
-                order = np.where(np.isnan(scores), -1.0, scores)  # unscored pairs come last
-                if order.shape[1] > k:
-                    edge = np.partition(order, -k, axis=1)[:, -k]
-                    user_at, item_at = np.nonzero(order >= edge[:, None])
-                else:
-                    user_at, item_at = np.nonzero(order >= -1.0)
-                user_ids = batch.column("userIds")[at].values
-                item_ids = batch.column("itemIds")[at].values
-                kept = scores[user_at, item_at]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        user_ids.take(pa.array(user_at)),
-                        item_ids.take(pa.array(item_at)),
-                        pa.array(kept, mask=np.isnan(kept)),
-                    ],
-                    names=["userId", "itemId", "score"],
-                )
-
-    return score
-
-
 def best_items(
-    user_dict: DataFrame, item_dict: DataFrame, k: int, digits: int = 6, tile_rows: int = TILE_ROWS
+    user_dict: DataFrame,
+    item_dict: DataFrame,
+    k: int,
+    digits: int = 6,
+    tile_rows: int = TILE_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Items up to rank k for every user by |cosine|, exact and with ties.
 
-    Users and items are packed into tiles of bounded size. Each user tile meets each item
-    tile in an equi-join on the two tile numbers, a task turns a tile pair into one matrix
-    product and passes on only the best k per user, and the ranks are made from those. The
-    user x item pairs are never rows. Scores are rounded to ``digits`` before ranking, so
-    equal vectors tie. A zero vector scores NULL.
+    Scores are rounded to ``digits`` before ranking, so equal vectors tie. A zero vector has
+    no cosine, and its pairs no rank. See :mod:`matchloom.operators.nearest`.
     """
-    spark = user_dict.sparkSession
-    n_users, n_items = user_dict.count(), item_dict.count()
-    tasks = spark.sparkContext.defaultParallelism
-    user_parts = max(1, math.ceil(n_users / tile_rows), min(tasks, math.ceil(n_users / 128)))
-    item_parts = max(1, math.ceil(n_items / tile_rows))
-    users = _tiles(user_dict, "userId", "userVec", user_parts, "user").withColumn(
-        "itemTile", F.explode(F.sequence(F.lit(0), F.lit(item_parts - 1)))
-    )
-    items = _tiles(item_dict, "itemId", "itemVec", item_parts, "item").withColumn(
-        "userTile", F.explode(F.sequence(F.lit(0), F.lit(user_parts - 1)))
-    )
-    spread = min(user_parts * item_parts, max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    met = users.repartition(spread, "userTile", "itemTile").join(items, ["userTile", "itemTile"])
-    schema = T.StructType(
-        [
-            T.StructField("userId", user_dict.schema["userId"].dataType),
-            T.StructField("itemId", item_dict.schema["itemId"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    local = met.drop("userTile", "itemTile").mapInArrow(_best_of_tiles(k, digits), schema)
-    return rank_in_user(local, k)
+
+    def rank(scored: DataFrame) -> DataFrame:
+        return rank_in_user(scored, k)
+
+    return rank(best_candidates(user_dict, item_dict, k, rank, digits, tile_rows, broadcast_bytes))
 
 
 def cross_top_k(
@@ -149,7 +66,6 @@ def cross_top_k(
     indexed: DataFrame,
     k: int = 50,
     digits: int = 6,
-    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Ranked items of every user with the labels of the observed pairs."""
-    return label_ranked(best_items(user_dict, item_dict, k, digits, tile_rows), indexed)
+    return label_ranked(best_items(user_dict, item_dict, k, digits), indexed)

@@ -44,12 +44,12 @@ def doc_vectors(
     """
     keys = [key] if isinstance(key, str) else key
     words = docs.select(*keys, text.tokens(F.col(doc)).alias("_tokens"))
-    explode = F.explode_outer if keep_empty else F.explode
-    words = words.select(*keys, F.size("_tokens").alias("_n"), explode("_tokens").alias("word"))
+    # the outer form: the plain one would have Spark tokenise once more to filter empty lists
+    words = words.select(*keys, F.size("_tokens").alias("_n"), F.explode_outer("_tokens").alias("word"))
     hits = lookup_join(
         words, word_vectors.select("word", "vec"), "word", 96 + 8 * dim, "left" if keep_empty else "inner"
     )
-    sums = hits.groupBy(*keys, "_n").agg(*_sums("vec", dim), F.max(F.size("vec")).alias("_width"))
+    sums = hits.groupBy(*keys).agg(*_sums("vec", dim), F.max("_n").alias("_n"), F.max(F.size("vec")).alias("_width"))
     return sums.select(*keys, _divided(dim, F.col("_n")).alias(out))
 
 
