@@ -210,7 +210,8 @@ def predict_factor_classifier(
     models: tuple[ALSModel, MultilayerPerceptronClassificationModel], pairs: DataFrame, multiply: bool = True
 ) -> DataFrame:
     embeddings, classifier = models
-    return predict_pairs(classifier, factor_vectors(embeddings, pairs, multiply)).drop("userVec", "itemVec")
+    predicted = predict_pairs(classifier, factor_vectors(embeddings, pairs, multiply))
+    return predicted.select(*pairs.columns, "prediction")
 
 
 def fit_id_factorisation(

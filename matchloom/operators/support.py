@@ -61,7 +61,8 @@ def lookup_join(
     if fits_broadcast(lookup, row_bytes, limit):
         return facts.join(F.broadcast(lookup), key, how)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if c != key] or [F.col(key)]), F.lit(salts))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = lookup.withColumn("_salt", F.explode(all_salts))
     return facts.withColumn("_salt", spread).join(copies, [key, "_salt"], how).drop("_salt")
 
 
