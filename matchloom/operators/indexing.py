@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchloom.operators.support import cut_lineage, hash_fraction
+from matchloom.operators.support import cut_lineage, hash_fraction, lookup_join
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within the partition below
 
@@ -46,9 +46,12 @@ def index_pairs(
     item_out: str = "itemIdIndex",
 ) -> DataFrame:
     """Add both indexes; frequencies count all rows."""
-    users = string_index(df, user, user_out)
-    items = string_index(df, item, item_out)
-    return df.join(users, user).join(items, item)
+    return with_index(with_index(df, df, user, user_out), df, item, item_out)
+
+
+def with_index(df: DataFrame, counted: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the index of a column by its frequency in ``counted``. Rows of a hot value are spread."""
+    return lookup_join(df, string_index(counted, column, out), column, row_bytes=96)
 
 
 def index_interactions(df: DataFrame) -> DataFrame:

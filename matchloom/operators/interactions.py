@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions import labels, text, vectors
-from matchloom.operators.support import lookup_join
+from matchloom.operators.support import cut_lineage, lookup_join
 
 CANONICAL = ["userId", "itemId", "userDoc", "itemDoc", "label"]
 
@@ -66,25 +66,48 @@ def keep_long_vectors(df: DataFrame, column: str) -> DataFrame:
     return df.where(vectors.longer_than_one(F.col(column)))
 
 
-def prepare_interactions(df: DataFrame) -> DataFrame:
-    """Strip HTML from item documents; keep complete rows whose documents are long enough."""
-    stripped = drop_nulls(df.select(*CANONICAL)).withColumn("itemDoc", text.strip_html(F.col("itemDoc")))
-    return stripped.where(text.is_long_enough(F.col("itemDoc")) & text.is_long_enough(F.col("userDoc")))
+def with_doc_keys(df: DataFrame) -> DataFrame:
+    """Digests ``userKey`` and ``itemKey`` in place of the documents."""
+    keys = {"userKey": text.doc_key(F.col("userDoc")), "itemKey": text.doc_key(F.col("itemDoc"))}
+    return df.withColumns(keys).drop("userDoc", "itemDoc")
 
 
-def split_documents(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Interactions with document digests, and the distinct documents behind the digests.
+def distinct_documents(df: DataFrame) -> DataFrame:
+    """``side, docKey, doc, uses``: the distinct user and item documents and how often they come.
 
     Texts are grouped once by hash aggregation, however many interactions repeat them; every
     later join moves digests instead of texts.
     """
-    user = F.struct(text.doc_key(F.col("userDoc")).alias("docKey"), F.col("userDoc").alias("doc"))
-    item = F.struct(text.doc_key(F.col("itemDoc")).alias("docKey"), F.col("itemDoc").alias("doc"))
-    docs = df.select(F.explode(F.array(user, item)).alias("d")).select("d.docKey", "d.doc").distinct()
-    pairs = df.withColumns(
-        {"userKey": text.doc_key(F.col("userDoc")), "itemKey": text.doc_key(F.col("itemDoc"))}
-    ).drop("userDoc", "itemDoc")
-    return pairs, docs
+    sides = [
+        F.struct(F.lit(side).alias("side"), text.doc_key(F.col(doc)).alias("docKey"), F.col(doc).alias("doc"))
+        for side, doc in (("user", "userDoc"), ("item", "itemDoc"))
+    ]
+    return df.select(F.inline(F.array(*sides))).groupBy("side", "docKey", "doc").agg(F.count(F.lit(1)).alias("uses"))
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """Strip HTML from item documents, once per distinct text, and keep documents that are long enough.
+
+    ``cleanKey`` is the digest of the clean text.
+    """
+    doc = F.col("doc")
+    clean = docs.withColumn("doc", F.when(F.col("side") == "item", text.strip_html(doc)).otherwise(doc))
+    # a condition on the count stays behind the grouping, so Spark strips no repeated text
+    return clean.where(F.when(F.col("uses") > 0, text.is_long_enough(doc))).withColumn("cleanKey", text.doc_key(doc))
+
+
+def clean_pairs(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Distinct interactions with the digests of their clean documents.
+
+    ``docs`` is a stored table with side, docKey and cleanKey; interactions of other documents
+    leave, and those of a hot document are spread.
+    """
+    pairs = with_doc_keys(rows).distinct()
+    for side in ("user", "item"):
+        key = f"{side}Key"
+        keys = docs.where(F.col("side") == side).select(F.col("docKey").alias(key), "cleanKey")
+        pairs = lookup_join(pairs, keys, key, row_bytes=160).drop(key).withColumnRenamed("cleanKey", key)
+    return pairs.distinct()
 
 
 def docs_with_known_word(docs: DataFrame, word_vectors: DataFrame, key: str, doc: str) -> DataFrame:
@@ -96,11 +119,14 @@ def docs_with_known_word(docs: DataFrame, word_vectors: DataFrame, key: str, doc
 def clean_interactions(df: DataFrame, word_vectors: DataFrame) -> DataFrame:
     """Distinct complete interactions whose documents are long enough and hold a known word.
 
-    Words are looked up once per distinct document; interactions are filtered by digest and
-    get their texts back at the end.
+    HTML is stripped from item documents. All work on texts is done once per distinct
+    document, which is stored; interactions are filtered by digest and get their texts back
+    at the end.
     """
-    pairs, docs = split_documents(prepare_interactions(df))
-    known = docs.join(docs_with_known_word(docs, word_vectors, "docKey", "doc"), "docKey", "left_semi")
-    user_docs = known.select(F.col("docKey").alias("userKey"), F.col("doc").alias("userDoc"))
-    item_docs = known.select(F.col("docKey").alias("itemKey"), F.col("doc").alias("itemDoc"))
-    return pairs.distinct().join(user_docs, "userKey").join(item_docs, "itemKey").select(*CANONICAL)
+    rows = drop_nulls(df.select(*CANONICAL))
+    docs = cut_lineage(clean_documents(distinct_documents(rows)))
+    texts = docs.select("cleanKey", "doc").distinct()
+    known = texts.join(docs_with_known_word(texts, word_vectors, "cleanKey", "doc"), "cleanKey", "left_semi")
+    users = known.select(F.col("cleanKey").alias("userKey"), F.col("doc").alias("userDoc"))
+    items = known.select(F.col("cleanKey").alias("itemKey"), F.col("doc").alias("itemDoc"))
+    return clean_pairs(rows, docs).join(users, "userKey").join(items, "itemKey").select(*CANONICAL)

@@ -106,7 +106,8 @@ def silhouette(df: DataFrame, vec: str = "userVec", cluster: str = "kth") -> flo
 
 def in_cluster(interactions: DataFrame, users: DataFrame, kth: int) -> DataFrame:
     """Interactions of the users of a cluster."""
-    return interactions.join(users.where(F.col("kth") == kth).select("userId"), "userId", "left_semi")
+    members = users.where(F.col("kth") == kth).select("userId")
+    return lookup_join(interactions, members, "userId", row_bytes=64, how="left_semi").select(*interactions.columns)
 
 
 # --- pair classifiers --------------------------------------------------------------------

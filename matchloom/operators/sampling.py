@@ -24,7 +24,8 @@ def _greatest(indexed: DataFrame, column: str):
 def _as_negatives(drawn: DataFrame, indexed: DataFrame) -> DataFrame:
     types = dict(indexed.dtypes)
     drawn = drawn.select(*[F.col(c).cast(types[c]).alias(c) for c in PAIR])
-    unseen = drawn.distinct().join(indexed.select(*PAIR), PAIR, "left_anti")
+    # both sides are distinct before the shuffle, and that shuffle serves the join as well
+    unseen = drawn.distinct().join(indexed.select(*PAIR).distinct(), PAIR, "left_anti")
     return unseen.withColumn("label", F.lit(0.0))
 
 
@@ -59,8 +60,7 @@ def append_negatives(indexed: DataFrame, seed: int = 42) -> DataFrame:
 def attach_vectors(pairs: DataFrame, user_dict: DataFrame, item_dict: DataFrame, dim: int) -> DataFrame:
     """Add both vectors. Pairs of a hot id are spread when the dictionary is not small."""
     row_bytes = 64 + 8 * dim
-    with_user = lookup_join(pairs, user_dict.select("userId", "userVec"), "userId", row_bytes)
-    return lookup_join(with_user, item_dict.select("itemId", "itemVec"), "itemId", row_bytes)
+    return lookup_join(lookup_join(pairs, user_dict, "userId", row_bytes), item_dict, "itemId", row_bytes)
 
 
 def negative_join(
@@ -69,11 +69,12 @@ def negative_join(
     """Interactions and negatives with vectors and |cosine|, greatest first."""
     positives = indexed.select(*PAIR, F.col("label").cast("double").alias("label"))
     pairs = positives.unionByName(negatives_per_positive(positives, k, seed))
-    scored = attach_vectors(pairs, user_dict, item_dict, dim).select(
-        *PAIR,
-        "label",
-        "userVec",
-        "itemVec",
-        vectors.abs_cosine(F.col("userVec"), F.col("itemVec")).alias("cosineSimilarity"),
+    # lengths of vectors are computed per id, before the vectors are copied to the pairs
+    users = user_dict.select("userId", "userVec", vectors.magnitude(F.col("userVec")).alias("_userLength"))
+    items = item_dict.select("itemId", "itemVec", vectors.magnitude(F.col("itemVec")).alias("_itemLength"))
+    dot = vectors.dot_product(F.col("userVec"), F.col("itemVec"))
+    cosine = F.try_divide(dot, F.col("_userLength") * F.col("_itemLength"))
+    scored = attach_vectors(pairs, users, items, dim).select(
+        *PAIR, "label", "userVec", "itemVec", F.abs(cosine).alias("cosineSimilarity")
     )
     return scored.orderBy(F.desc_nulls_last("cosineSimilarity"))

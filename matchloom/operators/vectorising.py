@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions import text, vectors
-from matchloom.operators.interactions import split_documents
-from matchloom.operators.support import lookup_join
+from matchloom.functions import text
+from matchloom.operators.interactions import (
+    CANONICAL,
+    clean_documents,
+    clean_pairs,
+    distinct_documents,
+    drop_nulls,
+    keep_long_vectors,
+    with_doc_keys,
+)
+from matchloom.operators.support import cut_lineage, lookup_join
 
 
 def vector_width(df: DataFrame, vec: str) -> int:
@@ -59,16 +67,32 @@ def both_doc_vectors(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFr
     Only rows where both vectors have more than one element stay. Vectors are computed once
     per distinct text.
     """
-    pairs, docs = split_documents(df)
-    return attach_doc_vectors(pairs, docs, word_vectors, dim)
+    docs = distinct_documents(df).select("docKey", "doc").distinct()
+    vecs = doc_vectors(docs, word_vectors, dim, "docKey", "doc", "vec", keep_empty=False)
+    return attach_doc_vectors(with_doc_keys(df), cut_lineage(keep_long_vectors(vecs, "vec")), "docKey", dim)
 
 
-def attach_doc_vectors(pairs: DataFrame, docs: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
-    vecs = doc_vectors(docs, word_vectors, dim, "docKey", "doc", "vec", keep_empty=False)
-    vecs = vecs.where(vectors.longer_than_one(F.col("vec")))
-    users = vecs.select(F.col("docKey").alias("userKey"), F.col("vec").alias("userVec"))
-    items = vecs.select(F.col("docKey").alias("itemKey"), F.col("vec").alias("itemVec"))
-    return pairs.join(users, "userKey").join(items, "itemKey").drop("userKey", "itemKey")
+def clean_and_vectorise(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
+    """Clean canonical interactions, with both document vectors in place of the documents.
+
+    A document vector of more than one element implies a known word, so the vector join is
+    also the vocabulary check of the cleaning. Texts are shuffled once, and the vectors
+    stored once; everything after that joins digests.
+    """
+    rows = drop_nulls(df.select(*CANONICAL))
+    docs = clean_documents(distinct_documents(rows))
+    vecs = doc_vectors(docs, word_vectors, dim, ["side", "docKey", "cleanKey"], "doc", "vec", keep_empty=False)
+    vecs = cut_lineage(keep_long_vectors(vecs, "vec"))
+    by_text = vecs.select("cleanKey", "vec").distinct()
+    return attach_doc_vectors(clean_pairs(rows, vecs), by_text, "cleanKey", dim)
+
+
+def attach_doc_vectors(pairs: DataFrame, vecs: DataFrame, key: str, dim: int) -> DataFrame:
+    """Vectors of both documents by digest; the interactions of a document many share are spread."""
+    for side in ("user", "item"):
+        one_side = vecs.select(F.col(key).alias(f"{side}Key"), F.col("vec").alias(f"{side}Vec"))
+        pairs = lookup_join(pairs, one_side, f"{side}Key", 96 + 8 * dim)
+    return pairs.drop("userKey", "itemKey")
 
 
 def mean_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:

@@ -18,10 +18,12 @@ from matchloom.operators.classification import (
     rmse,
 )
 from matchloom.operators.indexing import hash_split
+from matchloom.operators.interactions import from_clicks
 from matchloom.operators.profiling import rows_per_key_distribution
 from matchloom.operators.ranking_metrics import hit_ratio_ndcg_sweep, rank_distribution
 from matchloom.operators.sampling import PAIR, negative_join, negatives_free
 from matchloom.operators.thresholds import precision_recall_curve, score_buckets
+from matchloom.operators.vectorising import clean_and_vectorise
 from matchloom.params import (
     MODE_CLASSIFIER,
     MODE_CLUSTERED,
@@ -30,8 +32,7 @@ from matchloom.params import (
     AppParams,
     ClassifierParams,
 )
-from matchloom.plans.preprocess import clean_and_vectorise, golden_frame, preprocess
-from matchloom.operators.interactions import from_clicks
+from matchloom.plans.preprocess import golden_frame, preprocess
 from matchloom.sources.tables import read_preprocessed, read_table, write_table
 from matchloom.sources.word_vectors import load_word_vectors
 

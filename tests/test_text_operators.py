@@ -93,10 +93,27 @@ def test_clean_interactions(spark, words):
 
 
 def test_both_doc_vectors(spark, words):
-    prepared = ops.prepare_interactions(raw(spark))
-    got = sorted(tuple(r) for r in vectorising.both_doc_vectors(prepared, words, 2).collect())
+    df = ops.drop_nulls(raw(spark))
+    got = sorted((r["userId"], r["label"], r["userVec"], r["itemVec"]) for r in vectorising.both_doc_vectors(df, words, 2).collect())
+    # rows are kept as often as they come; u3 has no known word; tags count as words here
+    third = pytest.approx([0.0, 4 / 3])
+    assert got == [
+        ("u1", 1.0, [1.0, 0.0], third),
+        ("u1", 1.0, [1.0, 0.0], third),
+        ("u2", 0.0, [1.0, 0.0], third),
+        ("u4", 1.0, pytest.approx([2 / 3, 0.0]), [0.0, 2.0]),
+        ("u5", 1.0, [1.0, 0.0], [0.0, 1.0]),
+    ]
+
+
+def test_clean_and_vectorise(spark, words):
+    twins = [("u8", "i1", "red red red", f"<{t}>blue blue blue", 1.0) for t in "ab"]  # equal without tags
+    df = raw(spark).unionByName(spark.createDataFrame(twins, raw(spark).schema))
+    got = sorted(tuple(r) for r in vectorising.clean_and_vectorise(df, words, 2).select("userId", "itemId", "label", "userVec", "itemVec").collect())
     row = ([1.0, 0.0], [0.0, 2.0])
-    assert got == [("u1", "i1", 1.0, *row), ("u1", "i1", 1.0, *row), ("u2", "i1", 0.0, *row)]
+    assert got == [("u1", "i1", 1.0, *row), ("u2", "i1", 0.0, *row), ("u8", "i1", 1.0, *row)]
+    clean = [tuple(r) for r in ops.clean_interactions(df, words).collect()]
+    assert len(clean) == 3 and ("u8", "i1", "red red red", "blue blue blue", 1.0) in clean
 
 
 def test_layouts(spark):
