@@ -204,13 +204,16 @@ def _send_users(cells: Cells, k: int, home: bool, margin: float = MARGIN) -> Cal
     other cells whose best possible score reaches the user's ``least``.
     """
 
+    # plain lists travel to workers that need not have this package
+    pivots, rows_held, nearest, farthest = cells.pivots, cells.rows, cells.nearest, cells.farthest
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         import pyarrow as pa
 
-        centres = np.array(cells.pivots)
+        centres = np.array(pivots)
         centres /= np.sqrt((centres * centres).sum(axis=1, keepdims=True))
-        held = np.array(cells.rows)
+        held = np.array(rows_held)
         for batch in batches:
             vec = batch.column("vec")
             least = batch.column("least").to_numpy(zero_copy_only=False)
@@ -224,7 +227,7 @@ def _send_users(cells: Cells, k: int, home: bool, margin: float = MARGIN) -> Cal
             if home:
                 visit = at_home & (held > 0)
             else:
-                gap = np.maximum(angle - np.array(cells.farthest), np.array(cells.nearest) - angle)
+                gap = np.maximum(angle - np.array(farthest), np.array(nearest) - angle)
                 bound = np.cos(np.maximum(gap - margin, 0.0))
                 visit = ~at_home & (held > 0) & (bound >= (least - margin)[:, None])
             user_at, cell = np.nonzero(visit)

@@ -1,12 +1,14 @@
 import math
 import random
+import subprocess
+import sys
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from matchloom.operators import ranking, ranking_metrics, thresholds
+from matchloom.operators import nearest, ranking, ranking_metrics, thresholds
 from matchloom.operators.nearest import best_candidates
 
 SCORED = "userId int, itemId int, score double, label double"
@@ -86,6 +88,17 @@ def test_cells_leave_out_what_cannot_win(spark):
     assert 160 * 3 <= candidates < 160 * 40
 
 
+def test_task_functions_need_no_package():
+    """A worker without this package can load what it is sent."""
+    from pyspark import cloudpickle
+
+    cells = nearest.Cells([[1.0, 0.0]], [1], [0.0], [0.1])
+    tasks = [nearest._best_of_tiles(3, 6, 2), nearest._assign_items([[1.0]]), nearest._send_users(cells, 3, True)]
+    load = "import pickle, sys; pickle.loads(sys.stdin.buffer.read())"
+    for task in tasks:
+        subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(task), cwd="/", env={}, check=True)
+
+
 def test_cross_top_k_labels(spark):
     user_dict, item_dict = _dictionaries(spark, [[1, 0], [0, 1]], [[1, 0], [1, 1]])
     indexed = spark.createDataFrame([(0, "i0", 1.0), (1, "i0", 0.0)], "userId int, itemId string, label double")
