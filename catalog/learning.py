@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
 from catalog.base import (
