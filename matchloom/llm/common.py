@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -118,29 +117,46 @@ def piece_text(part: str) -> str:
     return part[1:] if part[:1] == "\0" else f" {part}"
 
 
-class Pieces:
-    """Values of text pieces, worked out once for each different piece.
+class Pieces(dict):
+    """Numbers of text pieces, and their values, worked out once for each different piece.
 
-    ``solve`` maps a list of pieces to a list of values. The store starts anew beyond ``most``
-    entries, so memory stays bounded. As part of a broadcast value it serves all tasks of a worker.
+    ``number`` gives a piece its number, a new one if it was not met before; ``settle`` maps all new
+    pieces at once by ``solve``, after which ``values`` has the value of every number. ``start`` empties
+    the store beyond ``most`` pieces, so memory stays bounded. As part of a shared value it serves all
+    tasks of a worker.
     """
 
     def __init__(self, solve: Callable[[list[str]], list], most: int = 500_000):
-        self.solve, self.most, self.values = solve, most, {}
-
-    def learn(self, parts: Iterable[str], spell: Callable[[str], str] = str) -> None:
-        """Work out the parts that are not in the store; ``spell`` gives the piece that a part stands for."""
-        if len(self.values) > self.most:
-            self.values.clear()
-        new = list(set(parts) - self.values.keys())
-        self.values.update(zip(new, self.solve([spell(p) for p in new])))
+        self.solve, self.most, self.values, self.new = solve, most, [], []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
+
+    def start(self) -> Callable[[str], int]:
+        if len(self) > self.most:
+            self.clear()
+            self.values = []
+        return self.__getitem__
+
+    def settle(self, spell: Callable[[str], str] | None = None) -> Callable[[int], object]:
+        """Work out the new pieces; ``spell`` gives what a part stands for. Returns the way to a number's value."""
+        if self.new:
+            self.values += self.solve([spell(p) for p in self.new] if spell else self.new)
+            self.new = []
+        return self.values.__getitem__
 
     def texts(self, texts: list[str]) -> Iterator[list]:
         """For each text the values of its safe pieces, in order."""
-        cut = [safe_pieces(t) for t in texts]
-        self.learn(chain.from_iterable(parts for _, parts in cut), piece_text)
+        number = self.start()
+        cut = []
+        for text in texts:
+            first, parts = safe_pieces(text)
+            cut.append((first, list(map(number, parts))))
+        value = self.settle(piece_text)
         heads = iter(self.solve([first for first, _ in cut if first]))
         for first, parts in cut:
             found = [next(heads)] if first else []
-            found += map(self.values.__getitem__, parts)
+            found += map(value, parts)
             yield found

@@ -39,6 +39,8 @@ BLOCK = 128
 COVER = 0.9
 SEGMENT = 1 << 16
 SEGMENT_SCHEMA = "part int, segment int, first bigint, doc_ids array<{kind}>, n_tokens bigint, payload binary"
+_LINE = 0xFFFFFFFF  # stands for a line end between words; no token has this id
+_END = _LINE.to_bytes(4, "little")
 _HEAD = "<4sIQ"
 _BLOCK = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "u1")])
 
@@ -175,8 +177,8 @@ class WordTokenizer:
             self.loaded = Tokenizer.from_file(self.model)
             self.loaded.no_truncation()
             self.loaded.no_padding()
-            self.plain = regex.compile(r"[\x21-įı-ɏ]+")
-            self.split = regex.compile(self.pattern or ".+").findall
+            self.plain = regex.compile(r"[\x21-įı-ɏ]+").fullmatch
+            self.split = regex.compile(f"{self.pattern}|\n").findall
         return self.loaded
 
     def _by_library(self, words: list[str]) -> list[bytes]:
@@ -195,31 +197,37 @@ class WordTokenizer:
         result: list[bytes] = []
         for start in range(0, len(tokens), 20_000):
             part = tokens[start : start + 20_000]
-            found = self._tokenizer().encode(" ".join(part), add_special_tokens=False)
+            found = self._tokenizer().encode(" ".join(t for t in part if t != "\n"), add_special_tokens=False)
             data = np.array(found.ids, "<u4").tobytes()
-            words = np.array(found.word_ids, np.int64)
-            if len(words) and words[-1] != len(part) - 1:
+            edges = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))
+            edges = iter(zip(edges.tolist(), edges[1:].tolist()))
+            split = [_END if t == "\n" else data[slice(*next(edges))] for t in part]
+            if len(found.word_ids) and found.word_ids[-1] != len(part) - part.count("\n") - 1:
                 raise ValueError("the tokenizer splits words in another way")
-            edges = 4 * np.searchsorted(words, np.arange(len(part) + 1))
-            result += [data[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
+            result += split
         return result
 
     def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; the plain ones are split together, with line ends between them."""
         self._tokenizer()
-        plain = [self.plain.fullmatch(w) is not None and "<|" not in w for w in words]
-        cut = [self.split(w.lower()) if p else None for w, p in zip(words, plain)]
-        self.tokens.learn(t for c in cut if c for t in c)
-        others = iter(self._by_library([w for w, p in zip(words, plain) if not p]))
-        known = self.tokens.values
-        return [b"".join(map(known.__getitem__, c)) if p else next(others) for c, p in zip(cut, plain)]
+        plain = [w for w in words if self.plain(w) and "<|" not in w]
+        number = self.tokens.start()
+        places = [*map(number, self.split("\n".join([*plain, ""]).lower()))]
+        value = self.tokens.settle()
+        ids = np.frombuffer(b"".join(map(value, places)), "<u4")
+        ends = 4 * np.flatnonzero(ids == _LINE)
+        data = ids.tobytes()
+        found = dict(zip(plain, (data[a:b] for a, b in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist()))))
+        found.update(zip(others := [w for w in words if w not in found], self._by_library(others)))
+        return [found[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        number = self.words.start()
         odd = [not self.cuts or ODD.search(t) is not None for t in texts]
-        cut = [[] if o else t.split() for t, o in zip(texts, odd)]
-        self.words.learn(w for c, o in zip(cut, odd) if not o for w in c)
+        cut = [[] if o else list(map(number, t.split())) for t, o in zip(texts, odd)]
+        value = self.words.settle()
         whole = iter(self._by_library([t for t, o in zip(texts, odd) if o]))
-        known = self.words.values
-        data = [next(whole) if o else b"".join(map(known.__getitem__, c)) for c, o in zip(cut, odd)]
+        data = [next(whole) if o else b"".join(map(value, c)) for c, o in zip(cut, odd)]
         return [np.frombuffer(d, "<u4") for d in data]
 
 
