@@ -123,7 +123,7 @@ class Index:
         bound = np.bincount(cells, self.row_max[rows], passages * self.blocks).reshape(passages, self.blocks)
         there = np.zeros((passages, len(self.dense)), np.float32)
         there[slot, self.common[term]] = 1
-        bound += there @ self.dense
+        bound = bound + there @ self.dense  # counts of no rows at all are whole numbers
         return bound.max(axis=1) >= self.params.threshold - 1e-4  # single precision in the dense part
 
     def _grams(self, ids: list[int]) -> set[tuple[int, ...]]:

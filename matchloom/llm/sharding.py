@@ -47,15 +47,15 @@ def shard_names(count: int) -> list[str]:
 
 
 def place(rows: DataFrame, keys: Sequence[str], shards: Sequence[str], size: int = TABLE) -> DataFrame:
-    """The rows with ``slot`` and ``shard`` (its number); columns of those names move to ``_slot`` and ``_shard``.
+    """The rows with ``slot`` and ``shard`` (its number); columns of those names get an underscore in front.
 
     One hash per row and one lookup in the table, whose size is a parameter and which is broadcast; no
     row is shuffled. Equal keys get equal shards, nulls included; to spread a hot key, give more columns.
     """
     spark = rows.sparkSession
-    for name in ("slot", "shard"):
-        if name in rows.columns:
-            rows = rows.withColumnRenamed(name, free_names(rows.columns, name)[0])
+    for name in rows.columns:
+        if name.lower() in ("slot", "shard"):
+            rows = rows.withColumnRenamed(name, free_names([*rows.columns, "slot", "shard"], name)[0])
     table = spark.createDataFrame(list(enumerate(fill_table(shards, size))), "slot bigint, shard int")
     slotted = rows.withColumn("slot", F.pmod(F.xxhash64(*keys), F.lit(size).cast("bigint")))
     joined = slotted.join(F.broadcast(table), "slot")

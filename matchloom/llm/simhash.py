@@ -77,7 +77,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius < 0 or radius % 2:
         raise ValueError("the radius is even: both sides of a pair reach half of it")
     masks = F.array(*[F.lit(m).cast("bigint") for m in _flips(radius // 2)])
-    different = prints.select("fp").distinct()
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    different = prints.select("fp").distinct().repartition(tasks, "fp")  # a row becomes a ball: not few tasks
     variants = different.select("fp", F.explode(F.transform(masks, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
     before = F.expr("lag(fp) over (partition by variant order by fp)")
     pairs = variants.select(before.alias("a"), F.col("fp").alias("b")).where("a is not null")

@@ -1,0 +1,274 @@
+"""Classifier, sharding, quality rules, personal data, decontamination, and the pipeline."""
+
+import itertools
+import json
+import os
+import random
+import struct
+import zlib
+from collections import Counter
+from math import comb
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from matchloom.llm import compression_classifier, decontaminate, pii, quality_rules, sharding
+from matchloom.llm.queries import QUERIES
+from matchloom.llm.sql import QUALITY_RULES
+from tests.compare import duck
+from tests.llm.brute import LABELS, components, deduped, docs, naive_spans, tiktoken_encoding
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+BIG = "/root/testdata/sf0.01"
+
+
+def labels(spark, rows):
+    return spark.createDataFrame([(i, q, 0) for i, q in rows], LABELS)
+
+
+# --- classifier -------------------------------------------------------------
+
+
+def test_classifier_on_held_out_rows(spark):
+    scored = QUERIES["op1_quality_classifier"](spark, BIG)
+    rows = scored.join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id").collect()
+    assert scored.count() == spark.read.parquet(f"{BIG}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["predicted"] == r["quality"] for r in held) >= 0.93 * len(held)
+
+
+def test_classifier_of_odd_tables(spark):
+    rows = [(1, None), (2, ""), (None, "text"), (3, "a b" * 100_000), (3, "again")]
+    for known in ([], [(2, 1), (77, 0), (None, 1), (3, None)], [(1, 1), (2, 0), (3, 1), (3, 0)]):
+        model = compression_classifier.fit_quality(docs(spark, rows, extra=("quality", "score")), labels(spark, known))
+        found = compression_classifier.quality_scores(docs(spark, rows, extra=("score",)), model).collect()
+        assert len(found) == 5 and all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in found)
+    assert compression_classifier.quality_scores(docs(spark, []), model).count() == 0
+
+
+# --- sharding ---------------------------------------------------------------
+
+
+def test_table_by_turns():
+    names, size = sharding.shard_names(7), 101
+    free, table, turns = set(range(size)), {}, itertools.cycle(range(7))
+    orders = []
+    for name in names:
+        at, step = (xxhash.xxh64_intdigest(name.encode(), seed) for seed in (1, 2))
+        orders.append([(at % size + j * (step % (size - 1) + 1)) % size for j in range(size)])
+    while free:
+        shard = next(turns)
+        slot = next(s for s in orders[shard] if s in free)
+        free.remove(slot)
+        table[slot] = shard
+    assert sharding.fill_table(names, size) == [table[i] for i in range(size)]
+
+
+def test_table_is_even_and_steady():
+    names = sharding.shard_names(50)
+    table = sharding.fill_table(names, 5003)
+    counts = Counter(table).values()
+    assert max(counts) - min(counts) <= 1
+    left = sharding.fill_table(names[:-1], 5003)
+    moved = sum(a != b for a, b in zip(table, left) if a != 49)
+    assert moved < 0.1 * 5003
+    for bad in ((names, 5000), ([], 5003), (["a", "a"], 7)):
+        with pytest.raises(ValueError):
+            sharding.fill_table(*bad)
+
+
+def test_placement(spark, tmp_path):
+    found = QUERIES["op2_sharding"](spark, SF).collect()
+    table = sharding.fill_table(sharding.shard_names(sharding.SHARDS))
+    assert len(found) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for r in found:
+        digest = xxhash.xxh64_intdigest(struct.pack("<q", r["doc_id"]), 42)
+        signed = digest - 2**64 if digest >> 63 else digest
+        assert (r["slot"], r["shard"]) == (signed % sharding.TABLE, table[signed % sharding.TABLE])
+    rows = docs(spark, [(1, "a"), (1, "a"), (None, None)] + [(i, "hot") for i in range(300)], extra=("shard", "Slot"))
+    placed = sharding.place(rows, ["doc_id"], sharding.shard_names(3), 101)
+    assert placed.count() == 303 and placed.where("doc_id = 1").select("shard").distinct().count() == 1
+    sharding.write_shards(placed, str(tmp_path / "out"), files=2)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 303
+    assert sharding.place(docs(spark, []), ["doc_id"], ["one"], 3).count() == 0
+
+
+# --- quality rules ----------------------------------------------------------
+
+
+def test_allowed_rejections(spark):
+    sizes = [0, 1, 50, 300, 597, 1000, 2500]
+    table = spark.createDataFrame([(n,) for n in sizes], "n bigint")
+    got = table.select("n", quality_rules.allowed_rejections(F.col("n"), 0.01, 0.0025).alias("most")).collect()
+    for r in got:
+        most, total = -1, 0.0
+        for k in range(r["n"] // 100 + 1):
+            total += comb(r["n"], k) * 0.01**k * 0.99 ** (r["n"] - k)
+            most = k if total <= 0.0025 else most
+        assert r["most"] == most
+
+
+def test_rules_statistics_and_kept(spark):
+    rep = "a b c d e " * 2 + "f"
+    rows = [(1, None), (2, ""), (3, rep), (4, "x\n\nx\n \ny #$ !!"), (5, "w " * 4), (6, "é" * 50_000 + " z" * 12), (None, "ok " + "word " * 3)]
+    table = docs(spark, rows, extra=("stats", "kept", "words"))
+    judged, stats, kept = quality_rules.quality_rules(table, labels(spark, [(1, 1), (1, 0), (9, 1), (None, 1), (2, None)]))
+    assert judged.columns == [*table.columns, stats, kept] and judged.count() == len(rows)
+    got = {r["doc_id"]: r[stats] for r in judged.collect()}
+    assert (got[1]["n_words"], got[1]["n_repeat_words"], got[2]["word_chars"]) == (0, 0, 0)
+    assert (got[3]["n_words"], got[3]["n_repeat_words"]) == (11, 10)
+    assert (got[4]["n_dup_lines"], got[4]["n_symbols"], got[4]["n_words"]) == (1, 2, 5)
+    assert got[6]["word_chars"] == 50_012
+    assert quality_rules.keep_good(docs(spark, []), labels(spark, [])).count() == 0
+    assert quality_rules.keep_good(table, labels(spark, [])).columns == table.columns
+
+
+def test_rules_hold_their_risk(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    rows, marks = [], []
+    for i in range(1600):
+        bad = i % 4 == 0
+        text = " ".join(rng.choice(words) + ("###" if bad else "") for _ in range(30))
+        rows.append((i, text))
+        marks.append((i, 0 if bad else 1))
+    judged, _, kept = quality_rules.quality_rules(docs(spark, rows), labels(spark, marks))
+    got = {r["doc_id"]: r[kept] for r in judged.collect()}
+    assert all(got[i] == (i % 4 != 0) for i in got)  # 1,200 good rows prove a cutoff
+    few, _, kept = quality_rules.quality_rules(docs(spark, rows[:40]), labels(spark, marks[:40]))
+    assert few.where(~F.col(kept)).count() == 0  # too few labels to prove any
+
+
+# --- personal data ----------------------------------------------------------
+
+
+def test_base_spans():
+    rng = random.Random(9)
+    parts = ["a", "Z.", "@", "@", ".", ".", "-", "_", "1", "25", "256", "+", "+1", " ", " ", "(", ")", "4111 1111 1111 1111", "x@y.z", "10.0.0.1", "é", "\n"]
+    parts += ["+1 (743) 555-3824", "4465758382889437", "0" * 30]
+    for _ in range(30_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert pii.base_spans(text)[0] == naive_spans(text), text
+    for text in ("1" * 200_000, "a" * 200_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000):
+        pii.base_spans(text)  # linear
+
+
+def test_messages_are_exact_on_a_chain():
+    rng = np.random.default_rng(3)
+    size = len(pii.LABELS)
+    rows = [(0, s, y, 0, int(rng.integers(1, 30))) for s in ("p", "q") for y in range(size)]
+    rows += [(k, "", a, b, int(rng.integers(1, 30))) for k in (1, 2) for a in range(size) for b in range(size)]
+    field = pii.Field(rows, pii.FieldParams(rounds=60, damping=0.2))
+    shapes, edges = ["p", "q", "p", "q"], [[(0, 1), (2, 3)], [(1, 2)]]
+    got = field.beliefs(shapes, np.array([-1, -1, -1, 3]), edges)
+    want = np.zeros((4, size))
+    for y in itertools.product(range(size), repeat=4):
+        if y[3] == 3:
+            weight = sum(field.shapes[s][v] for s, v in zip(shapes[:3], y))
+            weight += sum(field.pairs[k][y[a], y[b]] for k, es in enumerate(edges) for a, b in es)
+            for i, v in enumerate(y):
+                want[i, v] += np.exp(weight)
+    assert np.allclose(got, want / want.sum(axis=1, keepdims=True), atol=1e-6)
+
+
+def test_pii_rows(spark):
+    card = "4465758382889437"
+    rows = [(i, f"mail me.{i}@mail.example.com or {card} at 10.0.0.{i}, +1 (743) 555-382{i % 10} ok") for i in range(40)]
+    rows += [(100, f"here {card} and later {card} {card} end"), (101, None), (102, ""), (102, ""), (None, "1.2.3.4")]
+    table = docs(spark, rows, extra=("spans", "n_ip"))
+    found = pii.find_pii(table, pii.fit_field(table)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = dict(rows).get(r["doc_id"]) or ""
+        base = naive_spans(text)
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(s[1] == k for s in base) for k in range(4)]
+        assert set(filter(None, pii._spelled(base).split(","))) <= set(r["spans"].split(","))
+    repeated = next(r for r in found if r["doc_id"] == 100)  # run into one number the pattern drops both
+    assert (repeated["n_card"], repeated["n_added"]) == (1, 2)
+    assert pii.find_pii(docs(spark, []), pii.fit_field(docs(spark, []))).count() == 0
+
+
+# --- decontamination --------------------------------------------------------
+
+
+def brute_hits(index, text):
+    """All items by exact scores of every passage, without bounds."""
+    p = index.params
+    ids = [i for i in map(decontaminate.Terms(index.vocabulary).__getitem__, text.split()) if i > -2]
+    found = {}
+    for step in range(max(1, -(-len(ids) // p.segment) - 1)):
+        part = ids[step * p.segment : (step + 2) * p.segment]
+        scores = Counter()
+        for t in {t for t in part if t >= 0}:
+            for segment, weight in zip(*index.postings[t]):
+                scores[segment] += weight
+        for segment, score in scores.items():
+            if score >= p.threshold - 1e-9:
+                found.setdefault(index.owner[segment], set()).add(step)
+    hits = set()
+    for owner, steps in found.items():
+        item, question, answer = index.items[owner]
+        if min(index._overlap(np.array(ids), dict.fromkeys(steps, 1.0), g) for g in (question, answer)) >= p.overlap - 1e-9:
+            hits.add(item)
+    return hits
+
+
+def test_search_finds_all():
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 70))) + ".") for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 150))) for _ in range(60)]
+    texts += [f"{a} {items[i % 60][1]} {a}" for i, a in enumerate(texts)]
+    for threshold, overlap in ((0.4, 0.0), (0.7, 0.6)):
+        index = decontaminate.Index(items, decontaminate.BenchmarkParams(segment=20, threshold=threshold, overlap=overlap))
+        got = [set() for _ in texts]
+        for d, item, *_ in index.hits(texts, decontaminate.Terms(index.vocabulary)):
+            got[d].add(item)
+        assert got == [brute_hits(index, t) for t in texts]
+    assert any(got)
+
+
+def items_table(spark, rows):
+    return spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+def test_contaminated_rows(spark):
+    text = "What is the tallest hill of the old country? It is the green one near the long river."
+    items = [(1, text), (2, text), (3, ""), (4, None), (5, "word")]
+    rows = [(1, f"before {text.upper()} after"), (1, text), (2, "clean words of another kind"), (3, None), (4, ""), (None, text), (6, "x " * 9000 + text + " y" * 9000)]
+    table = docs(spark, rows, extra=("item_id", "score"))
+    found = decontaminate.contaminated(table, items_table(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, k) for i in (1, None, 6) for k in (1, 2)} and len(found) == 6
+    small = decontaminate.BenchmarkParams(shard_bytes=100)  # several indexes give the same items
+    again = decontaminate.contaminated(table, items_table(spark, items), small).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in again} >= {(1, 1), (1, 2), (6, 1)}
+    kept = decontaminate.remove_contaminated(table, items_table(spark, items))
+    assert kept.columns == table.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
+    assert decontaminate.contaminated(docs(spark, []), items_table(spark, items)).count() == 0
+    assert decontaminate.contaminated(table, items_table(spark, [])).count() == 0
+
+
+# --- pipeline ---------------------------------------------------------------
+
+
+def test_pipeline(spark):
+    con = duck(SF)
+    kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({QUALITY_RULES}) WHERE kept").fetchall()}
+    texts = {i: t for i, t in con.execute("SELECT doc_id, text FROM documents").fetchall() if i in kept}
+    texts = deduped(texts)
+    group = components(texts)
+    texts = {i: t for i, t in texts.items() if group[i] == i}
+    index = decontaminate.Index(con.execute("SELECT item_id, text FROM benchmark ORDER BY 1").fetchall(), decontaminate.BenchmarkParams())
+    texts = {i: t for i, t in texts.items() if not brute_hits(index, t)}
+    library = tiktoken_encoding()
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: library.encode_ordinary(t) for i, t in texts.items()}
+    assert 0 < len(got) < 200 and [n for n, _ in corpus_pipeline.STAGES] == json.loads(json.dumps([n for n, _ in corpus_pipeline.STAGES]))
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, source, SF).schema.simpleString() == source.schema.simpleString()
