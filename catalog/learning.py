@@ -21,7 +21,7 @@ from matchloom.operators.indexing import hash_split
 from matchloom.operators.sampling import negatives_free
 from matchloom.params import AlsParams, ClassifierParams, KMeansParams
 
-SMALL = ClassifierParams(epochs=10)
+SMALL = ClassifierParams()
 
 
 def _split(df):
@@ -109,7 +109,7 @@ def mlp_pairs(spark, sf):
     """Classifier on vector pairs: fitted, saved, loaded and applied to held-out pairs."""
     path = scratch_path(spark, "classifier")
     train, test = _split(vector_pairs(spark, sf))
-    models.fit_pair_classifier(train, EMBEDDING_DIM, ClassifierParams(epochs=10, model_path=path))
+    models.fit_pair_classifier(train, EMBEDDING_DIM, ClassifierParams(model_path=path))
     loaded = models.fit_pair_classifier(
         train, EMBEDDING_DIM, ClassifierParams(train=False, model_path=path)
     )
@@ -119,7 +119,7 @@ def mlp_pairs(spark, sf):
 @query("fm_ids")
 def fm_ids(spark, sf):
     train, test = _split(pairs(spark, sf))
-    model = models.fit_id_factorisation(train, max_iter=10)
+    model = models.fit_id_factorisation(train)
     return models.predict_id_factorisation(model, test).select("userId", "itemId", "label", "prediction")
 
 

@@ -22,7 +22,7 @@ from catalog.base import (
 from catalog.registry import query
 from matchloom.operators import profiling
 from matchloom.operators.models import in_cluster
-from matchloom.operators.ranking_metrics import users_without_hit
+from matchloom.operators.ranking_metrics import any_hit
 
 
 def _sql_tidy(section: str, source: str, metrics: list[str]) -> str:
@@ -168,10 +168,8 @@ def cluster_semi_join(spark, sf):
     + """SELECT "userId", max(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS hit FROM ranked_pairs GROUP BY "userId" """,
 )
 def hit_and_other_users(spark, sf):
-    """Users with a hit and users without, as a union of both groups."""
-    ranked = ranked_pairs(spark, sf)
-    hits = ranked.where(F.col("label") == 1.0).select("userId").distinct().withColumn("hit", F.lit(1))
-    return hits.unionByName(users_without_hit(ranked, 50).withColumn("hit", F.lit(0)))
+    """Users with a hit and users without, from one aggregate."""
+    return any_hit(ranked_pairs(spark, sf), 50)
 
 
 @query(

@@ -104,7 +104,7 @@ def id_point_table(spark, sf):
     return points.select(F.col("f")[0].alias("user_feature"), F.col("f")[1].alias("item_feature"), "label")
 
 
-@query("random_order")
+@query("random_order", "SELECT * FROM labels")
 def rows_in_random_order(spark, sf):
     return random_order(table(spark, sf, "labels"), seed=1)
 

@@ -24,6 +24,15 @@ def outcome_counts(df: DataFrame, label: str = "label", prediction: str = "predi
     ).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
+def unscored_rows(df: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """One row: how many rows have no prediction, e.g. because their cluster has no model."""
+    return df.agg(F.count_if(F.col(prediction).isNull()).alias("unscored"))
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    return df.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+
+
 def _confusion(counts: DataFrame) -> DataFrame:
     def cell(prediction: float, label: float) -> Column:
         hit = (F.col("prediction") == prediction) & (F.col("label") == label)
@@ -102,8 +111,8 @@ def _one_row(df: DataFrame, values: dict[str, float]) -> DataFrame:
 
 
 def evaluate_multiclass(df: DataFrame) -> DataFrame:
-    """One row: area under ROC, accuracy, weighted precision and recall, to 3 places."""
-    counts = outcome_counts(df).persist()
+    """One row: area under ROC, accuracy, weighted precision and recall, to 3 places; rows without label or prediction stay out."""
+    counts = outcome_counts(_scored(df)).persist()
     try:
         values = {
             "auroc": _binary(counts, "areaUnderROC"),
@@ -117,8 +126,8 @@ def evaluate_multiclass(df: DataFrame) -> DataFrame:
 
 
 def evaluate_binary(df: DataFrame) -> DataFrame:
-    """One row: accuracy, precision, recall, areas under ROC and PR, to 3 places."""
-    counts = outcome_counts(df).persist()
+    """One row: accuracy, precision, recall, areas under ROC and PR, to 3 places; rows without label or prediction stay out."""
+    counts = outcome_counts(_scored(df)).persist()
     try:
         ratios = binary_ratios(_confusion(counts)).first().asDict()
         values = {

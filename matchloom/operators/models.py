@@ -75,7 +75,7 @@ def assign_clusters(model: KMeansModel, df: DataFrame, vec: str = "userVec") ->
 
 def fit_kmeans(df: DataFrame, params: KMeansParams) -> KMeansModel:
     if params.feature_col not in df.columns:
-        raise ValueError(f"{params.feature_col} is needed to train a k-means model")
+        raise ValueError(f"the users have no column {params.feature_col} to cluster by")
     kmeans = KMeans(
         k=params.k,
         seed=params.seed,
@@ -88,7 +88,9 @@ def fit_kmeans(df: DataFrame, params: KMeansParams) -> KMeansModel:
 
 
 def cluster_users(users: DataFrame, params: KMeansParams) -> tuple[DataFrame, KMeansModel]:
-    """Users with their cluster. Fits and saves, or loads, when a model path is given."""
+    """Users with their cluster. Fits and saves, or loads, when a model path is given; loading needs one."""
+    if not params.train and not params.model_path:
+        raise ValueError("a model can only be loaded from a path")
     if params.model_path:
         model = fit_or_load(params.train, lambda: fit_kmeans(users, params), KMeansModel, params.model_path)
     else:
@@ -125,6 +127,7 @@ def pair_classifier(input_width: int, params: ClassifierParams) -> MultilayerPer
         maxIter=params.epochs,
         blockSize=params.batch_size,
         stepSize=params.learning_rate,
+        solver=params.solver,
         seed=params.seed,
         featuresCol=PAIR_VECTOR,
         labelCol="label",
@@ -216,13 +219,24 @@ def predict_factor_classifier(
 
 
 def fit_id_factorisation(
-    train: DataFrame, factors: int = 20, buckets: int = 1 << 12, max_iter: int = 20, step: float = 1e-2, seed: int = 1
+    train: DataFrame,
+    factors: int = 20,
+    buckets: int | None = None,
+    max_iter: int = 20,
+    step: float = 1e-2,
+    seed: int = 1,
+    most: int = 1 << 24,
 ) -> PipelineModel:
     """Factorisation machine over hashed ids.
 
-    The model holds ``buckets * factors`` numbers whatever the number of ids; ids in one
-    bucket share their embedding.
+    There are at least eight buckets per different id unless ``buckets`` says otherwise. The driver holds
+    ``buckets * factors`` numbers; more than ``most`` of them fail: use the classifier on factors then.
     """
+    if buckets is None:
+        ids = train.agg(F.count_distinct("userId").alias("u"), F.count_distinct("itemId").alias("i")).first()
+        buckets = 1 << (8 * max(1, ids["u"] + ids["i"]) - 1).bit_length()
+    if buckets * factors > most:
+        raise ValueError("too many ids for one factorisation machine; train the classifier on factors")
     hasher = FeatureHasher(
         inputCols=["userId", "itemId"],
         categoricalCols=["userId", "itemId"],

@@ -55,9 +55,18 @@ def vector_shape(df: DataFrame, vec: str) -> tuple[int, int]:
 
 
 def _rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Ids and vectors; a zero vector has no cosine and leaves."""
+    """Ids and vectors; a vector that is zero or has a NULL, NaN or infinite element has no cosine and leaves.
+
+    Lengths of very small or very large elements would leave the range of numbers, so such vectors are
+    divided by their largest element, which changes no angle.
+    """
     rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    return rows.where(F.exists("vec", lambda v: v != 0))
+    rows = rows.where(F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))))
+    largest = F.array_max(F.transform("vec", F.abs))
+    scaled = F.transform("vec", lambda v: v / F.col("largest"))
+    extreme = (F.col("largest") < 1e-100) | (F.col("largest") > 1e100)
+    rows = rows.withColumn("largest", largest).where("largest > 0")
+    return rows.select("id", F.when(extreme, scaled).otherwise(F.col("vec")).alias("vec"))
 
 
 def _celled_schema(id_type: T.DataType, *extra: str) -> T.StructType:

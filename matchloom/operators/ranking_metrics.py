@@ -34,9 +34,13 @@ def rank_distribution(df: DataFrame, k: int = 30) -> DataFrame:
 
 def users_without_hit(df: DataFrame, k: int = 30) -> DataFrame:
     """Users with no positive up to rank k."""
-    ranked = with_rank(df, k)
-    hits = ranked.where(F.col("label") == 1.0).select("userId")
-    return ranked.select("userId").distinct().join(hits, "userId", "left_anti")
+    return any_hit(df, k).where("hit = 0").select("userId")
+
+
+def any_hit(df: DataFrame, k: int = 30) -> DataFrame:
+    """Every user with ``hit``: 1 with a positive up to rank k, else 0."""
+    hit = F.max(F.when(F.col("label") == 1.0, 1).otherwise(0))
+    return with_rank(df, k).groupBy("userId").agg(hit.alias("hit"))
 
 
 def user_hits(df: DataFrame, k: int = 30) -> DataFrame:

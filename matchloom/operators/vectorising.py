@@ -29,9 +29,13 @@ def _sums(vec: str, dim: int) -> list[Column]:
 
 
 def _divided(dim: int, divisor: Column) -> Column:
-    """Sums over the divisor, cut to the longest vector seen; empty when none was seen."""
+    """Sums over the divisor, cut to the longest vector seen; empty when none was seen.
+
+    A vector longer than ``dim`` fails the job: its other elements would be lost.
+    """
     parts = F.array(*[F.try_divide(F.col(f"_s{i}"), divisor) for i in range(dim)])
-    return F.slice(parts, 1, F.coalesce(F.col("_width"), F.lit(0)))
+    whole = F.slice(parts, 1, F.coalesce(F.col("_width"), F.lit(0)))
+    return F.when(F.col("_width") > dim, F.raise_error(F.lit(f"a vector has more than {dim} elements"))).otherwise(whole)
 
 
 def doc_vectors(

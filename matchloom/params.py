@@ -29,7 +29,7 @@ class KMeansParams:
 class ClassifierParams:
     """``epochs`` becomes the iteration bound of the optimiser and ``batch_size`` the block size.
 
-    ``learning_rate`` is the step size of gradient-descent solvers; L-BFGS picks its own.
+    ``learning_rate`` is the step size of the solver ``gd``; ``l-bfgs`` picks its own.
     """
 
     batch_size: int = 1024
@@ -39,6 +39,7 @@ class ClassifierParams:
     model_path: str = ""
     hidden_layers: tuple[int, ...] = (40, 20, 10)
     seed: int = 1
+    solver: str = "l-bfgs"
 
 
 @dataclass(frozen=True)

@@ -33,6 +33,7 @@ from matchloom.params import (
     ClassifierParams,
 )
 from matchloom.plans.preprocess import golden_frame, preprocess
+from matchloom.sources.models import model_exists, remove_model
 from matchloom.sources.tables import read_preprocessed, read_table, write_table
 from matchloom.sources.word_vectors import load_word_vectors
 
@@ -162,14 +163,19 @@ def train_clustered(indexed: DataFrame, user_dict: DataFrame, params: AppParams)
         return model
 
     try:
-        models.train_per_cluster(params.kmeans.k, lambda kth: models.in_cluster(rows, clustered, kth), fit)
+        trained = models.train_per_cluster(params.kmeans.k, lambda kth: models.in_cluster(rows, clustered, kth), fit)
     finally:
         clustered.unpersist()
+    for kth in range(params.kmeans.k):
+        if kth not in trained and params.classifier.train:  # a model of an older run would pass for a new one
+            remove_model(indexed.sparkSession, models.cluster_model_path(params.classifier.model_path, kth))
+    if not reports:
+        raise ValueError("no interaction belongs to a user of any cluster")
     return reduce(DataFrame.unionByName, reports)
 
 
 def predict_golden(golden: DataFrame, params: AppParams) -> DataFrame:
-    """Predictions of golden rows (labels 0/1) by the saved models of the mode."""
+    """Predictions of golden rows (labels 0/1) by the saved models of the mode; NULL for a cluster without one."""
     load = models.MultilayerPerceptronClassificationModel.load
     base = params.classifier.model_path
     if params.mode == MODE_CLASSIFIER:
@@ -177,7 +183,8 @@ def predict_golden(golden: DataFrame, params: AppParams) -> DataFrame:
     clusters = models.KMeansModel.load(params.kmeans.model_path)
     clustered = models.assign_clusters(clusters, golden, params.kmeans.feature_col)
     present = [row["kth"] for row in clustered.select("kth").distinct().collect()]  # at most k numbers
-    loaded = {kth: load(models.cluster_model_path(base, kth)) for kth in present}
+    paths = {kth: models.cluster_model_path(base, kth) for kth in present}
+    loaded = {kth: load(path) for kth, path in paths.items() if model_exists(golden.sparkSession, path)}
     return models.predict_per_cluster(loaded, clustered)
 
 
@@ -187,7 +194,7 @@ def run(spark: SparkSession, params: AppParams) -> dict[str, DataFrame]:
         preprocess(spark, params)
         return {}
     if params.mode not in (MODE_CLASSIFIER, MODE_CLUSTERED):
-        raise ValueError(f"mode {params.mode} not supported")
+        raise ValueError(f"unknown mode {params.mode!r}")
     indexed, user_dict, _ = read_preprocessed(spark, params.data.preprocessed)
     if params.mode == MODE_CLUSTERED:
         validation = train_clustered(indexed, user_dict, params)
