@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from catalog.base import (
     EMBEDDING_DIM,
+    SQL_PAIRS,
+    ctes,
     pairs,
     scratch_path,
     sql_round,
@@ -22,17 +24,29 @@ from matchloom.operators.sampling import negatives_free
 from matchloom.params import AlsParams, ClassifierParams, KMeansParams
 
 SMALL = ClassifierParams()
+# held-out pairs by digest; models cannot be expressed in SQL, but which rows come out and what is valid can
+SQL_HELD_OUT = (
+    ctes(SQL_PAIRS)
+    + """SELECT "userId", "itemId", label, true AS valid FROM pairs
+    WHERE ('0x' || substr(md5('1|' || "userId" || '|' || "itemId"), 1, 8))::BIGINT / 4294967296e0 >= 0.8"""
+)
 
 
 def _split(df):
     return hash_split(df, ["userId", "itemId"])
 
 
-@query("als_scores")
+def _ids():
+    return [F.col(c).cast("bigint").alias(c) for c in ("userId", "itemId")]
+
+
+@query("als_scores", SQL_HELD_OUT)
 def als_scores(spark, sf):
+    """Held-out pairs, and whether their score is a finite number."""
     train, test = _split(pairs(spark, sf))
     scored = models.als_scores(models.fit_als(train), test)
-    return scored.withColumn("prediction", F.round("prediction", 6))
+    finite = F.coalesce(F.abs("prediction") < float("inf"), F.lit(False))
+    return scored.select(*_ids(), "label", finite.alias("valid"))
 
 
 @query("als_top_items")
@@ -116,11 +130,13 @@ def mlp_pairs(spark, sf):
     return models.predict_pairs(loaded, test).select("userId", "itemId", "label", "prediction")
 
 
-@query("fm_ids")
+@query("fm_ids", SQL_HELD_OUT)
 def fm_ids(spark, sf):
+    """Held-out pairs, and whether their prediction is one of the classes."""
     train, test = _split(pairs(spark, sf))
     model = models.fit_id_factorisation(train)
-    return models.predict_id_factorisation(model, test).select("userId", "itemId", "label", "prediction")
+    known = F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False))
+    return models.predict_id_factorisation(model, test).select(*_ids(), "label", known.alias("valid"))
 
 
 @query("factor_classifier")

@@ -142,5 +142,5 @@ def test_jobs_of_every_mode(spark, tmp_path):
     report = clustered["validation"].collect()
     assert [r["kth"] for r in report] == [0, 1, 2]
     assert sum(r["positives"] + r["negatives"] for r in report) == 360
-    with pytest.raises(ValueError, match="not supported"):
+    with pytest.raises(ValueError, match="unknown mode"):
         jobs.run(spark, AppParams(mode="other", **params))
