@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import share, shared_value, text_slices
+from matchloom.llm.common import free_names, share, shared_value, stored, text_slices
 
 _NOT_WORD = re.compile(r"\W+")
 _MARGIN = 1e-9  # sums in another order differ by less
@@ -61,10 +61,29 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return [w for s in sentences[:-1] for w in s], sentences[-1]
 
 
+def _parts(words: list, most: int) -> list[list]:
+    """The segments of an item: as few as have at most ``most`` words, of like length."""
+    parts = -(-len(words) // most)
+    cuts = [len(words) * i // parts for i in range(parts + 1)] if parts else [0]
+    return [words[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items: number of segments, their words in total, and the segments that hold a word."""
+
+    segments: int
+    words: int
+    found: dict[str, int]
+
+
 class Index:
-    """Postings, term bounds and block bounds of the items' segments."""
+    """Postings, term bounds and block bounds of the items' segments.
+
+    The items may be a part of all: ``statistics`` then has the numbers of all of them.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], params: BenchmarkParams):
+    def __init__(self, items: list[tuple[int, str]], params: BenchmarkParams, statistics: Statistics | None = None):
         self.params, self.vocabulary, self.items = params, {}, []
         segments = []
         for item, text in items:
@@ -74,23 +93,25 @@ class Index:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
             parts = question_and_answer(text)
             self.items.append((item, *[self._grams([self.vocabulary[w] for w in p]) for p in parts]))
-            parts = -(-len(ids) // params.segment)
-            cuts = [len(ids) * i // parts for i in range(parts + 1)]
-            segments += [(Counter(ids[a:b]), len(self.items) - 1) for a, b in zip(cuts, cuts[1:])]
+            segments += [(Counter(part), len(self.items) - 1) for part in _parts(ids, params.segment)]
         # segments of like length have weights of like size: their blocks get tight bounds
         segments.sort(key=lambda s: (len(s[0]), s[1]))
         self.owner = [owner for _, owner in segments]
         segments = [words for words, _ in segments]
         n, size = len(segments), len(self.vocabulary)
-        found = Counter(t for s in segments for t in s)
         lengths = [sum(s.values()) for s in segments]
-        mean = sum(lengths) / max(1, n)
+        if statistics is None:
+            total, words, found = n, sum(lengths), Counter(t for s in segments for t in s)
+        else:
+            total, words = statistics.segments, statistics.words
+            found = {t: statistics.found[w] for w, t in self.vocabulary.items()}
+        mean = words / max(1, total)
         self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in range(size)]
         self.block_max: list[dict[int, float]] = [{} for _ in range(size)]
         for i, (segment, length) in enumerate(zip(segments, lengths)):
             weights = {}
             for t, tf in segment.items():
-                idf = np.log1p((n - found[t] + 0.5) / (found[t] + 0.5))
+                idf = np.log1p((total - found[t] + 0.5) / (found[t] + 0.5))
                 weights[t] = float(idf * tf * (params.k1 + 1) / (tf + params.k1 * (1 - params.b + params.b * length / mean)))
             whole = sum(weights.values())
             for t, w in weights.items():
@@ -256,19 +277,49 @@ def _shards(items: DataFrame, limit: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == i) for i in range(parts)]
 
 
+def _frequencies(items: DataFrame, most: int) -> DataFrame:
+    """``word``, ``n`` (segments that hold it); the row without a word has the segments and ``words`` of all items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_slices(batches):
+            parts = [p for t in texts for p in _parts(item_words(t), most)]
+            found = Counter(w for p in parts for w in set(p))
+            arrays = [[None, *found], [len(parts), *found.values()], [sum(map(len, parts)), *[0] * len(found)]]
+            yield pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds)], ["word", "n", "words"])
+
+    kinds = [pa.string(), pa.int64(), pa.int64()]
+    counted = items.select("text").mapInArrow(run, "word string, n bigint, words bigint")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+
+
+def _statistics(items: DataFrame, shards: list[DataFrame], most: int) -> Iterator[Statistics | None]:
+    """For each shard the statistics of all items, of words only those that it has; None where it is all items."""
+    if len(shards) == 1:
+        yield None
+        return
+    every = stored(_frequencies(items, most), "benchmark-words")
+    all_items = every.where("word is null").first()
+    for shard in shards:
+        words = _frequencies(shard, most).select("word")
+        rows = every.select("word", "n").join(words, "word").collect()  # no more words than the shard's text has
+        yield Statistics(all_items["n"], all_items["words"], {r["word"]: r["n"] for r in rows})
+
+
 def contaminated(docs: DataFrame, items: DataFrame, params: BenchmarkParams = BenchmarkParams()) -> DataFrame:
     """Every (``doc_id``, ``item_id``) whose item stands in the document, with score and overlaps.
 
-    Items are collected and broadcast in shards of a checked size; document frequencies are those of a
-    shard. Documents are read whole, one pass per shard, without a shuffle. Null texts, empty texts and
+    Items are collected and broadcast in shards of a checked size; frequencies and lengths are those of all
+    items, so shards change no score. Documents are read whole, one pass per shard, without a shuffle. Null texts, empty texts and
     items without words hit nothing; equal items and repeated document rows each make rows of their own,
     equal rows of the result count once. A null ``doc_id`` is kept as null.
     """
     kinds = [f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", f"item_id {items.schema['item_id'].dataType.simpleString()}"]
     found = []
-    for shard in _shards(items.select("item_id", "text"), params.shard_bytes):
+    items = items.select("item_id", "text")
+    shards = _shards(items, params.shard_bytes)
+    for shard, statistics in zip(shards, _statistics(items, shards, params.segment)):
         rows = sorted((tuple(r) for r in shard.where("text is not null").collect()), key=lambda r: (r[0] is None, r))
-        index = share(docs.sparkSession, Index(rows, params))
+        index = share(docs.sparkSession, Index(rows, params, statistics))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "passages"]
@@ -294,6 +345,7 @@ def contaminated(docs: DataFrame, items: DataFrame, params: BenchmarkParams = Be
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, params: BenchmarkParams = BenchmarkParams()) -> DataFrame:
     """The documents without those that hold an item. Rows without ``doc_id`` go when any such row holds one."""
-    bad = contaminated(docs, items, params).select(F.col("doc_id").alias("_bad")).distinct()
-    kept = docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    name = free_names(docs.columns, "bad")[0]
+    bad = contaminated(docs, items, params).select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -241,12 +241,16 @@ def test_contaminated_rows(spark):
     text = "What is the tallest hill of the old country? It is the green one near the long river."
     items = [(1, text), (2, text), (3, ""), (4, None), (5, "word")]
     rows = [(1, f"before {text.upper()} after"), (1, text), (2, "clean words of another kind"), (3, None), (4, ""), (None, text), (6, "x " * 9000 + text + " y" * 9000)]
-    table = docs(spark, rows, extra=("item_id", "score"))
+    table = docs(spark, rows, extra=("item_id", "score", "bad", "_bad"))
     found = decontaminate.contaminated(table, items_table(spark, items)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, k) for i in (1, None, 6) for k in (1, 2)} and len(found) == 6
-    small = decontaminate.BenchmarkParams(shard_bytes=100)  # several indexes give the same items
+    small = decontaminate.BenchmarkParams(shard_bytes=100)  # several indexes give the same rows
     again = decontaminate.contaminated(table, items_table(spark, items), small).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in again} >= {(1, 1), (1, 2), (6, 1)}
+
+    def scores(rows):
+        return {(r["doc_id"], r["item_id"]): pytest.approx((r["score"], r["question_overlap"], r["answer_overlap"])) for r in rows}
+
+    assert {k: v.expected for k, v in scores(again).items()} == scores(found)
     kept = decontaminate.remove_contaminated(table, items_table(spark, items))
     assert kept.columns == table.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
     assert decontaminate.contaminated(docs(spark, []), items_table(spark, items)).count() == 0
