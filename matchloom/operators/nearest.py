@@ -1,49 +1,28 @@
 """Exact best items of every user by |cosine|, without making the user x item pairs.
 
-Vectors meet in tiles: bounded groups of users and of items that are scored by one matrix
-product inside a task, which passes on the best k per user.
+Exact top-k on vectors that need not cluster is a product of two matrices, so the work is users x
+items whatever the plan; what can be saved is what moves. Inside a task users meet items in tiles,
+and a running best k per user is all that leaves it.
 
-A small item dictionary is broadcast and every user tile meets every item tile. A large one
-is cut into cells around pivots first. |cosine| is the cosine of the angle between two
-lines, and angles between lines obey the triangle inequality, so the angle of a user to the
-pivot and the range of angles inside the cell bound every score in the cell:
-
-1. users meet the nearest cells that together hold k items, which gives each user a score
-   its best k cannot fall below;
-2. users then meet just those other cells whose bound reaches that score.
-
-No candidate is capped: cells that are left out cannot hold one of the best k.
+An item dictionary of a checked size is broadcast, and users stay where they are. Beyond it both
+sides are cut into blocks of bounded bytes: every user block meets every item block in a group of
+its own, so users move once per item block and items once per user block.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchloom.operators.support import cut_lineage
-
-TILE_ROWS = 2048  # users or items per tile: 32 MB of scores per tile pair
-TILES_PER_KEY = 64  # user tiles that share one copy of an item tile
-MOST_TASKS = 100_000
-MOST_PIVOTS = 512
+TILE_ROWS = 2048  # users and items in one matrix product: 32 MB of scores
 BROADCAST_BYTES = 64 * 1024 * 1024
-MARGIN = 1e-6  # angles and rounded scores are compared with this much room
-
-
-@dataclass(frozen=True)
-class Cells:
-    """Per cell: pivot, number of items, least and greatest angle of an item to the pivot."""
-
-    pivots: list[list[float]]
-    rows: list[int]
-    nearest: list[float]
-    farthest: list[float]
+BLOCK_BYTES = 128 * 1024 * 1024  # vectors of either side in one group
+MOST_PARTITIONS = 20_000  # a task takes its groups one after another, so memory does not grow beyond this
 
 
 def vector_shape(df: DataFrame, vec: str) -> tuple[int, int]:
@@ -69,245 +48,130 @@ def _rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.select("id", F.when(extreme, scaled).otherwise(F.col("vec")).alias("vec"))
 
 
-def _celled_schema(id_type: T.DataType, *extra: str) -> T.StructType:
-    fields = [T.StructField("cell", T.IntegerType()), T.StructField("id", id_type)]
-    fields.append(T.StructField("vec", T.ArrayType(T.DoubleType())))
-    return T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in extra])
-
-
-# --- tiles -------------------------------------------------------------------------------
+def _best(k: int, digits: int, width: int, tile_rows: int) -> Callable:
+    """Task function: for each user the best k of the items, ties included, as two positions and the score."""
 
+    def unit(flat):
+        import numpy as np
 
-def _of_cell(numbers: list[int]) -> Column:
-    return F.get(F.array(*[F.lit(n) for n in numbers]), F.col("cell"))
+        rows = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
+        return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
+    def best(user_flat, item_flat):
+        import numpy as np
 
-def _tile_counts(rows: list[int], tile_rows: int, least: int = 1) -> list[int]:
-    return [max(1, math.ceil(n / tile_rows), min(least, math.ceil(n / 128))) for n in rows]
+        users, items = unit(user_flat), unit(item_flat)
+        found = []
+        for start in range(0, len(users), tile_rows):
+            some = users[start : start + tile_rows]
+            top = np.full((len(some), k), -1.0)  # the best k scores so far; the least of them is the edge
+            kept, held = [], 0
+            for at in range(0, len(items), tile_rows):
+                scores = np.round(np.abs(some @ items[at : at + tile_rows].T), digits)
+                if not (scores >= top.min(axis=1)[:, None]).any():
+                    continue
+                both = np.concatenate([top, scores], axis=1)
+                top = np.partition(both, -k, axis=1)[:, -k:]
+                user_at, item_at = np.nonzero(scores >= top.min(axis=1)[:, None])
+                kept.append((user_at, item_at + at, scores[user_at, item_at]))
+                held += len(user_at)
+                if held > 8 * k * len(some):  # forget what was overtaken
+                    kept = [over_edge(kept, top)]
+                    held = len(kept[0][0])
+            user_at, item_at, scores = over_edge(kept, top)
+            found.append((user_at + start, item_at, scores))
+        return over_edge(found, None)
+
+    def over_edge(parts, top):
+        import numpy as np
 
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        user_at, item_at, scores = (np.concatenate(column) for column in zip(*parts))
+        if top is None:
+            return user_at, item_at, scores
+        over = scores >= top.min(axis=1)[user_at]
+        return user_at[over], item_at[over], scores[over]
 
-def _tiles(df: DataFrame, counts: list[int], side: str) -> DataFrame:
-    """One row per tile: the ids and the vectors laid end to end. A crowded cell has many tiles."""
-    tile = F.pmod(F.xxhash64("id"), _of_cell(counts)).cast("int").alias(f"{side}Tile")
-    packed = df.select("cell", tile, F.struct("id", "vec", "least").alias("row"))
-    packed = packed.groupBy("cell", f"{side}Tile").agg(F.collect_list("row").alias("rows"))
-    return packed.select(
-        "cell",
-        f"{side}Tile",
-        F.col("rows.id").alias(f"{side}Ids"),
-        F.flatten(F.col("rows.vec")).alias(f"{side}Vecs"),
-        F.col("rows.least").alias(f"{side}Least"),
-    )
+    return best
 
 
-def _best_of_tiles(k: int, digits: int, width: int) -> Callable:
-    """Task function: best k per user of each pair of tiles, ties included."""
+def _against_all(best: Callable, held) -> Callable:
+    """Task function: users against the broadcast items."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
 
-        def unit(flat):
-            rows = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
-            return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-
+        ids, flat = held.value
         for batch in batches:
-            for at in range(batch.num_rows):
-                users = unit(batch.column("userVecs")[at].values)
-                items = unit(batch.column("itemVecs")[at].values)
-                scores = np.round(np.abs(users @ items.T), digits)
-                edge = batch.column("userLeast")[at].values.to_numpy(zero_copy_only=False)
-                if scores.shape[1] > k:
-                    edge = np.maximum(edge, np.partition(scores, -k, axis=1)[:, -k])
-                user_at, item_at = np.nonzero(scores >= edge[:, None])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("userIds")[at].values.take(pa.array(user_at)),
-                        batch.column("itemIds")[at].values.take(pa.array(item_at)),
-                        pa.array(scores[user_at, item_at]),
-                    ],
-                    names=["userId", "itemId", "score"],
-                )
-
-    return score
-
-
-def _meet(
-    users: DataFrame,
-    items: DataFrame,
-    user_rows: list[int],
-    item_rows: list[int],
-    best: Callable,
-    tile_rows: int,
-    broadcast: bool,
-) -> DataFrame:
-    """Best items of users among the items of the cells they are sent to.
+            user_at, item_at, scores = best(batch.column("vec").flatten(), flat)
+            columns = [batch.column("id").take(pa.array(user_at)), ids.take(pa.array(item_at)), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=["userId", "itemId", "score"])
 
-    User tiles are copied to the item tiles of their cell. When the items are not broadcast,
-    item tiles are copied once per 64 user tiles, so a crowded cell becomes many small keys.
-    """
-    spark = users.sparkSession
-    tasks = spark.sparkContext.defaultParallelism
-    item_tiles = _tile_counts(item_rows, tile_rows)
-    user_tiles = _tile_counts(user_rows, tile_rows, least=tasks)
-    groups = [math.ceil(n / TILES_PER_KEY) for n in user_tiles]
-    schema = T.StructType(
-        [
-            T.StructField("userId", users.schema["id"].dataType),
-            T.StructField("itemId", items.schema["id"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    wanted = _tiles(users, user_tiles, "user").withColumn(
-        "itemTile", F.explode(F.sequence(F.lit(0), _of_cell(item_tiles) - 1))
-    )
-    offered = _tiles(items, item_tiles, "item").drop("itemLeast")
-    if broadcast:
-        pairs = sum(u * i for u, i in zip(user_tiles, item_tiles))
-        wanted = wanted.repartition(min(pairs, MOST_TASKS, max(tasks, pairs // 16)), "cell", "userTile", "itemTile")
-        met = wanted.join(F.broadcast(offered), ["cell", "itemTile"])
-    else:
-        keys = ["cell", "itemTile", "userGroup"]
-        wanted = wanted.withColumn("userGroup", F.pmod(F.col("userTile"), _of_cell(groups)))
-        offered = offered.withColumn("userGroup", F.explode(F.sequence(F.lit(0), _of_cell(groups) - 1)))
-        count = min(sum(g * i for g, i in zip(groups, item_tiles)), MOST_TASKS)
-        met = wanted.repartition(count, *keys).join(offered.repartition(count, *keys), keys)
-    return met.select("userIds", "userVecs", "userLeast", "itemIds", "itemVecs").mapInArrow(best, schema)
-
-
-# --- cells -------------------------------------------------------------------------------
+    return run
 
 
-def _choose_pivots(items: DataFrame, n_items: int, tile_rows: int) -> list[list[float]]:
-    """A bounded number of item vectors, picked by digest of their id."""
-    count = max(1, min(MOST_PIVOTS, math.ceil(n_items / tile_rows)))
-    return [list(row["vec"]) for row in items.orderBy(F.xxhash64("id"), "id").select("vec").limit(count).collect()]
+def _block_against_block(best: Callable) -> Callable:
+    """Task function: one block of users against one block of items."""
 
-
-def _assign_items(pivots: list[list[float]]) -> Callable:
-    """Task function: nearest pivot of every item and the angle to it."""
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    def run(users: pa.Table, items: pa.Table) -> pa.Table:
         import pyarrow as pa
 
-        centres = np.array(pivots)
-        centres /= np.sqrt((centres * centres).sum(axis=1, keepdims=True))
-        for batch in batches:
-            rows = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, centres.shape[1])
-            near = np.abs(rows @ centres.T) / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-            cell = near.argmax(axis=1)
-            angle = np.arccos(np.minimum(near.max(axis=1), 1.0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell.astype(np.int32)), batch.column("id"), batch.column("vec"), pa.array(angle)],
-                names=["cell", "id", "vec", "angle"],
-            )
-
-    return assign
-
-
-def _send_users(cells: Cells, k: int, home: bool, margin: float = MARGIN) -> Callable:
-    """Task function: a row per user and cell to visit.
-
-    ``home`` sends users to the nearest cells that together hold k items; otherwise to the
-    other cells whose best possible score reaches the user's ``least``.
-    """
+        user_flat, item_flat = (side.column("vec").combine_chunks().flatten() for side in (users, items))
+        user_at, item_at, scores = best(user_flat, item_flat)
+        columns = [users.column("id").take(pa.array(user_at)), items.column("id").take(pa.array(item_at)), pa.array(scores)]
+        return pa.table(columns, names=["userId", "itemId", "score"])
 
-    # plain lists travel to workers that need not have this package
-    pivots, rows_held, nearest, farthest = cells.pivots, cells.rows, cells.nearest, cells.farthest
+    return run
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        import pyarrow as pa
 
-        centres = np.array(pivots)
-        centres /= np.sqrt((centres * centres).sum(axis=1, keepdims=True))
-        held = np.array(rows_held)
-        for batch in batches:
-            vec = batch.column("vec")
-            least = batch.column("least").to_numpy(zero_copy_only=False)
-            rows = vec.flatten().to_numpy(zero_copy_only=False).reshape(-1, centres.shape[1])
-            near = np.abs(rows @ centres.T) / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-            angle = np.arccos(np.minimum(near, 1.0))
-            order = np.argsort(angle, axis=1, kind="stable")
-            before = held[order].cumsum(axis=1) - held[order]
-            at_home = np.zeros(angle.shape, dtype=bool)
-            np.put_along_axis(at_home, order, before < k, axis=1)
-            if home:
-                visit = at_home & (held > 0)
-            else:
-                gap = np.maximum(angle - np.array(farthest), np.array(nearest) - angle)
-                bound = np.cos(np.maximum(gap - margin, 0.0))
-                visit = ~at_home & (held > 0) & (bound >= (least - margin)[:, None])
-            user_at, cell = np.nonzero(visit)
-            picked = pa.array(user_at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell.astype(np.int32)), batch.column("id").take(picked), vec.take(picked), pa.array(least[user_at])],
-                names=["cell", "id", "vec", "least"],
-            )
-
-    return send
-
-
-def _counts_per_cell(df: DataFrame, cells: int) -> list[int]:
-    """Rows per cell; one number per cell reaches the driver."""
-    counts = {row["cell"]: row["count"] for row in df.groupBy("cell").count().collect()}
-    return [counts.get(cell, 0) for cell in range(cells)]
-
-
-def _by_cells(
-    users: DataFrame, items: DataFrame, n_items: int, k: int, best: Callable, rank: Callable, tile_rows: int
-) -> DataFrame:
-    pivots = _choose_pivots(items, n_items, tile_rows)
-    id_type = items.schema["id"].dataType
-    celled = cut_lineage(items.mapInArrow(_assign_items(pivots), _celled_schema(id_type, "angle")))
-    stats = {
-        row["cell"]: row
-        for row in celled.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("angle").alias("nearest"), F.max("angle").alias("farthest"))
-        .collect()
-    }
-
-    def per_cell(name: str, missing: float) -> list:
-        return [stats[c][name] if c in stats else missing for c in range(len(pivots))]
-
-    cells = Cells(pivots, per_cell("rows", 0), per_cell("nearest", 0.0), per_cell("farthest", 0.0))
-    offered = celled.select("cell", "id", "vec", F.lit(0.0).alias("least"))
-    user_schema = _celled_schema(users.schema["id"].dataType, "least")
-
-    def visit(asking: DataFrame, home: bool) -> DataFrame:
-        sent = cut_lineage(asking.mapInArrow(_send_users(cells, k, home), user_schema))
-        user_rows = _counts_per_cell(sent, len(pivots))
-        return _meet(sent, offered, user_rows, cells.rows, best, tile_rows, broadcast=False)
-
-    first = cut_lineage(rank(visit(users.withColumn("least", F.lit(0.0)), home=True)))
-    least = first.groupBy(F.col("userId").alias("id")).agg(F.min("score").alias("least"))
-    second = visit(users.join(least, "id"), home=False)
-    return first.select("userId", "itemId", "score").unionByName(second)
+def _blocks(df: DataFrame, own: str, count: int, other: str, copies: int, partitions: int) -> DataFrame:
+    """Rows in the block of their id, one copy for each block of the other side."""
+    number = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    blocks = df.withColumn(own, number).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return blocks.repartition(partitions, "userBlock", "itemBlock")
 
 
 def best_candidates(
     user_dict: DataFrame,
     item_dict: DataFrame,
     k: int,
-    rank: Callable[[DataFrame], DataFrame],
     digits: int = 6,
     tile_rows: int = TILE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``userId, itemId, score`` holding the best k items of every user, ties included.
 
-    ``rank`` keeps the best k per user of such a table.
+    Each user has at most k rows and ties for every item block, so ranking them moves few rows.
     """
     n_users, user_width = vector_shape(user_dict, "userVec")
     n_items, item_width = vector_shape(item_dict, "itemVec")
     if n_users and n_items and user_width != item_width:
         raise ValueError("vectors differ in size")
     users, items = _rows(user_dict, "userId", "userVec"), _rows(item_dict, "itemId", "itemVec")
-    best = _best_of_tiles(k, digits, item_width)
-    if n_items * item_width * 8 > broadcast_bytes:
-        return _by_cells(users, items, n_items, k, best, rank, tile_rows)
-    one_cell = {"cell": F.lit(0), "least": F.lit(0.0)}
-    return _meet(
-        users.withColumns(one_cell), items.withColumns(one_cell), [n_users], [n_items], best, tile_rows, broadcast=True
+    width = max(1, item_width)
+    best = _best(k, digits, width, tile_rows)
+    schema = T.StructType(
+        [
+            T.StructField("userId", users.schema["id"].dataType),
+            T.StructField("itemId", items.schema["id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
     )
+    context = users.sparkSession.sparkContext
+    tasks = context.defaultParallelism
+    if n_items * width * 8 <= broadcast_bytes:
+        held = items.toArrow().combine_chunks()
+        ids, flat = (held.column(c).combine_chunks() for c in ("id", "vec"))
+        if n_users * width * 8 <= BROADCAST_BYTES:  # so few bytes may come from fewer splits than there are tasks
+            users = users.repartition(tasks)
+        return users.mapInArrow(_against_all(best, context.broadcast((ids, flat.flatten()))), schema)
+    rows = max(1, block_bytes // (8 * width))
+    item_blocks = math.ceil(n_items / rows)
+    user_blocks = max(1, math.ceil(n_users / rows), min(math.ceil(tasks / item_blocks), math.ceil(n_users / 128)))
+    partitions = min(user_blocks * item_blocks, MOST_PARTITIONS)
+    keys = ("userBlock", "itemBlock")
+    asked = _blocks(users, keys[0], user_blocks, keys[1], item_blocks, partitions)
+    offered = _blocks(items, keys[1], item_blocks, keys[0], user_blocks, partitions)
+    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(_block_against_block(best), schema)

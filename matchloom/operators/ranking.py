@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchloom.functions import vectors
-from matchloom.operators.nearest import BROADCAST_BYTES, TILE_ROWS, best_candidates
+from matchloom.operators.nearest import BLOCK_BYTES, BROADCAST_BYTES, TILE_ROWS, best_candidates
 
 
 def rank_in_user(df: DataFrame, k: int, user: str = "userId", score: str = "score") -> DataFrame:
@@ -47,17 +47,15 @@ def best_items(
     digits: int = 6,
     tile_rows: int = TILE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Items up to rank k for every user by |cosine|, exact and with ties.
 
     Scores are rounded to ``digits`` before ranking, so equal vectors tie. A zero vector has
     no cosine, and its pairs no rank. See :mod:`matchloom.operators.nearest`.
     """
-
-    def rank(scored: DataFrame) -> DataFrame:
-        return rank_in_user(scored, k)
-
-    return rank(best_candidates(user_dict, item_dict, k, rank, digits, tile_rows, broadcast_bytes))
+    found = best_candidates(user_dict, item_dict, k, digits, tile_rows, broadcast_bytes, block_bytes)
+    return rank_in_user(found, k)
 
 
 def cross_top_k(

@@ -69,31 +69,38 @@ def test_best_items_equal_brute_force(spark, clustered, k):
     items += [items[0]] * 40 + [2 * items[1], -items[1], np.zeros(5)]  # a crowd of equals, multiples, a zero vector
     user_dict, item_dict = _dictionaries(spark, users, items)
     expected = _brute(users, items, k)
-    for limits in ({}, {"tile_rows": 16, "broadcast_bytes": 0}):
+    blocks = {"tile_rows": 16, "broadcast_bytes": 0}
+    for limits in ({}, {"tile_rows": 16}, blocks, blocks | {"block_bytes": 8 * 5 * 37}):
         rows = ranking.best_items(user_dict, item_dict, k, **limits).collect()
         assert {(r["userId"], r["itemId"]): (r["score"], r["rank"]) for r in rows} == expected
         assert len(rows) == len(expected)
 
 
-def test_cells_leave_out_what_cannot_win(spark):
-    """Tight clusters: users are scored against their own cluster only."""
+def test_few_rows_leave_the_tasks(spark):
+    """Best items of a user leave once per item block, and vectors move once per block of the other side."""
     draw = np.random.default_rng(3)
-    centres = np.eye(8)
-    vectors = [centres[n % 8] + 0.01 * draw.normal(size=8) for n in range(160)]
-    user_dict, item_dict = _dictionaries(spark, vectors, vectors)
-    visited = best_candidates(
-        user_dict, item_dict, 3, lambda df: ranking.rank_in_user(df, 3), tile_rows=4, broadcast_bytes=0
-    )
-    candidates = visited.count()
-    assert 160 * 3 <= candidates < 160 * 40
+    user_dict, item_dict = _dictionaries(spark, list(draw.normal(size=(160, 8))), list(draw.normal(size=(200, 8))))
+    assert best_candidates(user_dict, item_dict, 3).count() == 160 * 3
+    blocks = best_candidates(user_dict, item_dict, 3, broadcast_bytes=0, block_bytes=50 * 8 * 8)  # 4 by 4 blocks
+    assert blocks.count() == 4 * 160 * 3
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_empty_dictionaries(spark):
+    user_dict, item_dict = _dictionaries(spark, [[1, 0]], [[1, 0]])
+    zero = item_dict.withColumn("itemVec", F.array(F.lit(0.0), F.lit(0.0)))
+    for limit in (0, 1 << 20):
+        for users, items in ((user_dict.limit(0), item_dict), (user_dict, item_dict.limit(0)), (user_dict, zero)):
+            assert ranking.best_items(users, items, 2, broadcast_bytes=limit).count() == 0
 
 
 def test_task_functions_need_no_package():
     """A worker without this package can load what it is sent."""
     from pyspark import cloudpickle
 
-    cells = nearest.Cells([[1.0, 0.0]], [1], [0.0], [0.1])
-    tasks = [nearest._best_of_tiles(3, 6, 2), nearest._assign_items([[1.0]]), nearest._send_users(cells, 3, True)]
+    best = nearest._best(3, 6, 2, 16)
+    tasks = [nearest._against_all(best, None), nearest._block_against_block(best)]
     load = "import pickle, sys; pickle.loads(sys.stdin.buffer.read())"
     for task in tasks:
         subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(task), cwd="/", env={}, check=True)
