@@ -217,7 +217,7 @@ def item_dict(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled pairs whose user and item both have a vector, with the vectors."""
-    return attach_vectors(pairs(spark, sf), user_dict(spark, sf), item_dict(spark, sf), EMBEDDING_DIM)
+    return attach_vectors(pairs(spark, sf), user_dict(spark, sf), item_dict(spark, sf))
 
 
 SQL_COSINE = "list_cosine_similarity(u.embedding::DOUBLE[], i.embedding::DOUBLE[])"

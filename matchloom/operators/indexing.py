@@ -51,7 +51,7 @@ def index_pairs(
 
 def with_index(df: DataFrame, counted: DataFrame, column: str, out: str) -> DataFrame:
     """Add the index of a column by its frequency in ``counted``. Rows of a hot value are spread."""
-    return lookup_join(df, string_index(counted, column, out), column, row_bytes=96)
+    return lookup_join(df, string_index(counted, column, out), column)
 
 
 def index_interactions(df: DataFrame) -> DataFrame:

@@ -106,14 +106,14 @@ def clean_pairs(rows: DataFrame, docs: DataFrame) -> DataFrame:
     for side in ("user", "item"):
         key = f"{side}Key"
         keys = docs.where(F.col("side") == side).select(F.col("docKey").alias(key), "cleanKey")
-        pairs = lookup_join(pairs, keys, key, row_bytes=160).drop(key).withColumnRenamed("cleanKey", key)
+        pairs = lookup_join(pairs, keys, key).drop(key).withColumnRenamed("cleanKey", key)
     return pairs.distinct()
 
 
 def docs_with_known_word(docs: DataFrame, word_vectors: DataFrame, key: str, doc: str) -> DataFrame:
     """Keys of the documents that hold at least one word of the dictionary."""
     words = docs.select(key, F.explode_outer(F.array_distinct(text.tokens(F.col(doc)))).alias("word"))
-    return lookup_join(words, word_vectors.select("word"), "word", row_bytes=80).select(key).distinct()
+    return lookup_join(words, word_vectors.select("word"), "word").select(key).distinct()
 
 
 def clean_interactions(df: DataFrame, word_vectors: DataFrame) -> DataFrame:
@@ -126,7 +126,8 @@ def clean_interactions(df: DataFrame, word_vectors: DataFrame) -> DataFrame:
     rows = drop_nulls(df.select(*CANONICAL))
     docs = cut_lineage(clean_documents(distinct_documents(rows)))
     texts = docs.select("cleanKey", "doc").distinct()
-    known = texts.join(docs_with_known_word(texts, word_vectors, "cleanKey", "doc"), "cleanKey", "left_semi")
+    known = cut_lineage(texts.join(docs_with_known_word(texts, word_vectors, "cleanKey", "doc"), "cleanKey", "left_semi"))
     users = known.select(F.col("cleanKey").alias("userKey"), F.col("doc").alias("userDoc"))
     items = known.select(F.col("cleanKey").alias("itemKey"), F.col("doc").alias("itemDoc"))
-    return clean_pairs(rows, docs).join(users, "userKey").join(items, "itemKey").select(*CANONICAL)
+    pairs = cut_lineage(clean_pairs(rows, docs))
+    return lookup_join(lookup_join(pairs, users, "userKey"), items, "itemKey").select(*CANONICAL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Any
@@ -109,7 +110,15 @@ def silhouette(df: DataFrame, vec: str = "userVec", cluster: str = "kth") -> flo
 def in_cluster(interactions: DataFrame, users: DataFrame, kth: int) -> DataFrame:
     """Interactions of the users of a cluster."""
     members = users.where(F.col("kth") == kth).select("userId")
-    return lookup_join(interactions, members, "userId", row_bytes=64, how="left_semi").select(*interactions.columns)
+    return lookup_join(interactions, members, "userId", how="left_semi").select(*interactions.columns)
+
+
+def stored_by_cluster(interactions: DataFrame, users: DataFrame) -> DataFrame:
+    """Interactions with the cluster of their user, written by cluster: one cluster's rows are read alone."""
+    numbered = lookup_join(interactions, users.select("userId", "kth"), "userId")
+    path = f"{use_checkpoint_dir(interactions.sparkSession)}/clusters-{uuid.uuid4().hex}"
+    numbered.write.partitionBy("kth").parquet(path)
+    return interactions.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 # --- pair classifiers --------------------------------------------------------------------
@@ -190,9 +199,8 @@ def factor_vectors(model: ALSModel, pairs: DataFrame, multiply: bool = True) ->
     """
     users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("userVec"))
     items = model.itemFactors.select(F.col("id").alias("itemId"), F.col("features").alias("itemVec"))
-    row_bytes = 64 + 8 * model.rank
-    joined = lookup_join(pairs, users, "userId", row_bytes)
-    joined = lookup_join(joined, items, "itemId", row_bytes)
+    joined = lookup_join(pairs, users, "userId")
+    joined = lookup_join(joined, items, "itemId")
     if not multiply:
         return joined
     product = F.zip_with("userVec", "itemVec", lambda u, i: u * i)

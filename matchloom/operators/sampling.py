@@ -16,9 +16,10 @@ from matchloom.operators.support import hash_number, lookup_join
 PAIR = ["userId", "itemId"]
 
 
-def _greatest(indexed: DataFrame, column: str):
-    """Greatest id as a scalar subquery."""
-    return indexed.agg(F.max(column).cast("bigint").alias("top")).scalar()
+def _extent(indexed: DataFrame) -> tuple[int, int, int]:
+    """Number of rows, greatest user and greatest item, by one aggregate; ids of no rows end at 0."""
+    greatest = [F.coalesce(F.max(c).cast("bigint"), F.lit(0)) for c in PAIR]
+    return tuple(indexed.agg(F.count(F.lit(1)), *greatest).first())
 
 
 def _as_negatives(drawn: DataFrame, indexed: DataFrame) -> DataFrame:
@@ -30,8 +31,11 @@ def _as_negatives(drawn: DataFrame, indexed: DataFrame) -> DataFrame:
 
 
 def negatives_per_positive(indexed: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """For every interaction its user with ``k`` drawn items; unseen pairs, once each."""
-    top = _greatest(indexed, "itemId")
+    """For every interaction its user with ``k`` drawn items; unseen pairs, once each.
+
+    The input is read three times (extent, draws, observed pairs): store a costly one before.
+    """
+    _, _, top = _extent(indexed)
     seen = [F.col(c).cast("bigint") for c in PAIR]
     draw = hash_number(F.lit(f"per{seed}"), *seen, F.col("draw"))
     draws = indexed.select(*PAIR, F.explode(F.sequence(F.lit(1), F.lit(k))).alias("draw"))
@@ -40,10 +44,9 @@ def negatives_per_positive(indexed: DataFrame, k: int, seed: int = 0) -> DataFra
 
 
 def negatives_free(indexed: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """``k * rows + 1`` drawn user-item pairs; unseen pairs, once each."""
-    rows = indexed.count()
-    users, items = _greatest(indexed, "userId"), _greatest(indexed, "itemId")
-    draws = indexed.sparkSession.range(0, k * rows + 1)
+    """``k * rows + 1`` drawn user-item pairs; unseen pairs, once each. The input is read twice."""
+    rows, users, items = _extent(indexed)
+    draws = indexed.sparkSession.range(0, k * rows + 1 if rows else 0)
     drawn = draws.select(
         F.pmod(hash_number(F.lit(f"user{seed}"), F.col("id")), users + 1).alias("userId"),
         F.pmod(hash_number(F.lit(f"item{seed}"), F.col("id")), items + 1).alias("itemId"),
@@ -57,16 +60,15 @@ def append_negatives(indexed: DataFrame, seed: int = 42) -> DataFrame:
     return positives.unionByName(negatives_free(indexed, 1, seed))
 
 
-def attach_vectors(pairs: DataFrame, user_dict: DataFrame, item_dict: DataFrame, dim: int) -> DataFrame:
+def attach_vectors(pairs: DataFrame, user_dict: DataFrame, item_dict: DataFrame) -> DataFrame:
     """Add both vectors. Pairs of a hot id are spread when the dictionary is not small."""
-    row_bytes = 64 + 8 * dim
-    return lookup_join(lookup_join(pairs, user_dict, "userId", row_bytes), item_dict, "itemId", row_bytes)
+    return lookup_join(lookup_join(pairs, user_dict, "userId"), item_dict, "itemId")
 
 
-def negative_join(
-    indexed: DataFrame, item_dict: DataFrame, user_dict: DataFrame, dim: int, k: int = 50, seed: int = 0
+def scored_with_negatives(
+    indexed: DataFrame, item_dict: DataFrame, user_dict: DataFrame, k: int = 50, seed: int = 0
 ) -> DataFrame:
-    """Interactions and negatives with vectors and |cosine|, greatest first."""
+    """Interactions and negatives with vectors and |cosine|, in no order."""
     positives = indexed.select(*PAIR, F.col("label").cast("double").alias("label"))
     pairs = positives.unionByName(negatives_per_positive(positives, k, seed))
     # lengths of vectors are computed per id, before the vectors are copied to the pairs
@@ -74,7 +76,14 @@ def negative_join(
     items = item_dict.select("itemId", "itemVec", vectors.magnitude(F.col("itemVec")).alias("_itemLength"))
     dot = vectors.dot_product(F.col("userVec"), F.col("itemVec"))
     cosine = F.try_divide(dot, F.col("_userLength") * F.col("_itemLength"))
-    scored = attach_vectors(pairs, users, items, dim).select(
+    return attach_vectors(pairs, users, items).select(
         *PAIR, "label", "userVec", "itemVec", F.abs(cosine).alias("cosineSimilarity")
     )
+
+
+def negative_join(
+    indexed: DataFrame, item_dict: DataFrame, user_dict: DataFrame, k: int = 50, seed: int = 0
+) -> DataFrame:
+    """Interactions and negatives with vectors and |cosine|, greatest first."""
+    scored = scored_with_negatives(indexed, item_dict, user_dict, k, seed)
     return scored.orderBy(F.desc_nulls_last("cosineSimilarity"))

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_BYTES = 32  # what a row of a broadcast takes beside its values
+HOT_ROWS = 1_000_000  # rows of one key that a task may take whole
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
@@ -44,26 +48,58 @@ def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES)
     return df.limit(most + 1).count() <= most
 
 
+def _column_bytes(field: T.StructField) -> Column:
+    """Bytes of a value as joins hold it."""
+    kind, value = field.dataType, F.col(f"`{field.name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(value)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.size(value) * (4 if isinstance(kind.elementType, (T.FloatType, T.IntegerType)) else 8)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(value)))
+    return F.lit(8)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows by the lengths of their values; one aggregate, combined within the tasks."""
+    row = reduce(Column.__add__, [F.coalesce(_column_bytes(f), F.lit(0)) for f in df.schema.fields], F.lit(ROW_BYTES))
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    row_bytes: int,
     how: str = "inner",
-    salts: int = 32,
     limit: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a large table with a one-row-per-key lookup on a key that may be hot.
 
-    A lookup proven small is broadcast. A larger one is copied ``salts`` times and the rows
-    of each key are spread over the copies, so no key ends in one task.
+    A lookup measured to be small is broadcast. Otherwise the keys of the facts are counted, and only a key
+    with over ``hot_rows`` rows has its lookup row copied, once per ``hot_rows``, with its facts spread over
+    the copies by their other columns; all other keys are joined as they are. Facts and lookup are read
+    twice, so costly ones should be stored before.
     """
-    if fits_broadcast(lookup, row_bytes, limit):
+    if measured_bytes(lookup) <= limit:
         return facts.join(F.broadcast(lookup), key, how)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if c != key] or [F.col(key)]), F.lit(salts))
-    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    copies = lookup.withColumn("_salt", F.explode(all_salts))
-    return facts.withColumn("_salt", spread).join(copies, [key, "_salt"], how).drop("_salt")
+    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = cut_lineage(counted.select(key, F.ceil(F.col("_n") / hot_rows).alias("_copies")))
+    if hot.isEmpty():
+        return facts.join(lookup, key, how)
+    hot = F.broadcast(hot) if measured_bytes(hot) <= limit else hot
+    spread, copied = spread_hot_keys(facts, lookup, key, hot)
+    return spread.join(copied, [key, "_salt"], how).drop("_salt")
+
+
+def spread_hot_keys(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: lookup rows of the hot keys in ``_copies`` copies, their facts spread over them."""
+    copies = F.coalesce(F.col("_copies"), F.lit(1).cast("bigint"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if c != key] or [F.col(key)]), copies)
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1))
+    return tuple(
+        side.join(hot, key, "left").withColumn("_salt", number).drop("_copies") for side, number in ((facts, salt), (lookup, salts))
+    )
 
 
 def hash_number(*keys: Column, hex_digits: int = 15) -> Column:

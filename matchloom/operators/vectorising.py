@@ -58,9 +58,7 @@ def doc_vectors(
     words = docs.select(*keys, text.tokens(F.col(doc)).alias("_tokens"))
     # the outer form: the plain one would have Spark tokenise once more to filter empty lists
     words = words.select(*keys, F.size("_tokens").alias("_n"), F.explode_outer("_tokens").alias("word"))
-    hits = lookup_join(
-        words, word_vectors.select("word", "vec"), "word", 96 + 8 * dim, "left" if keep_empty else "inner"
-    )
+    hits = lookup_join(words, word_vectors.select("word", "vec"), "word", "left" if keep_empty else "inner")
     sums = hits.groupBy(*keys).agg(*_sums("vec", dim), F.max("_n").alias("_n"), F.max(F.size("vec")).alias("_width"))
     return sums.select(*keys, _divided(dim, F.col("_n")).alias(out))
 
@@ -73,7 +71,7 @@ def both_doc_vectors(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFr
     """
     docs = distinct_documents(df).select("docKey", "doc").distinct()
     vecs = doc_vectors(docs, word_vectors, dim, "docKey", "doc", "vec", keep_empty=False)
-    return attach_doc_vectors(with_doc_keys(df), cut_lineage(keep_long_vectors(vecs, "vec")), "docKey", dim)
+    return attach_doc_vectors(with_doc_keys(df), cut_lineage(keep_long_vectors(vecs, "vec")), "docKey")
 
 
 def clean_and_vectorise(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
@@ -88,14 +86,14 @@ def clean_and_vectorise(df: DataFrame, word_vectors: DataFrame, dim: int) -> Dat
     vecs = doc_vectors(docs, word_vectors, dim, ["side", "docKey", "cleanKey"], "doc", "vec", keep_empty=False)
     vecs = cut_lineage(keep_long_vectors(vecs, "vec"))
     by_text = vecs.select("cleanKey", "vec").distinct()
-    return attach_doc_vectors(clean_pairs(rows, vecs), by_text, "cleanKey", dim)
+    return attach_doc_vectors(clean_pairs(rows, vecs), by_text, "cleanKey")
 
 
-def attach_doc_vectors(pairs: DataFrame, vecs: DataFrame, key: str, dim: int) -> DataFrame:
+def attach_doc_vectors(pairs: DataFrame, vecs: DataFrame, key: str) -> DataFrame:
     """Vectors of both documents by digest; the interactions of a document many share are spread."""
     for side in ("user", "item"):
         one_side = vecs.select(F.col(key).alias(f"{side}Key"), F.col("vec").alias(f"{side}Vec"))
-        pairs = lookup_join(pairs, one_side, f"{side}Key", 96 + 8 * dim)
+        pairs = lookup_join(pairs, one_side, f"{side}Key")
     return pairs.drop("userKey", "itemKey")
 
 

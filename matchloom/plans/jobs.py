@@ -21,7 +21,8 @@ from matchloom.operators.indexing import hash_split
 from matchloom.operators.interactions import from_clicks
 from matchloom.operators.profiling import rows_per_key_distribution
 from matchloom.operators.ranking_metrics import hit_ratio_ndcg_sweep, rank_distribution
-from matchloom.operators.sampling import PAIR, negative_join, negatives_free
+from matchloom.operators.sampling import PAIR, negatives_free, scored_with_negatives
+from matchloom.operators.support import cut_lineage
 from matchloom.operators.thresholds import precision_recall_curve, score_buckets
 from matchloom.operators.vectorising import clean_and_vectorise
 from matchloom.params import (
@@ -83,7 +84,7 @@ def id_classifier_job(
 ) -> DataFrame:
     """Classifier over learned id embeddings, trained with drawn negatives. One row of metrics."""
     positives = indexed.select(*PAIR, F.col("label").cast("double").alias("label"))
-    data = negatives_free(positives, negative_k).unionByName(positives)
+    data = cut_lineage(negatives_free(positives, negative_k).unionByName(positives))
     train, validation = hash_split(data, [F.col(c).cast("bigint") for c in PAIR])
     fitted = models.fit_factor_classifier(train, als, params, multiply)
     return evaluate_multiclass(models.predict_factor_classifier(fitted, validation, multiply))
@@ -102,7 +103,8 @@ def vector_classifier_job(
 
     ``indexed`` and ``golden`` have labels 0/1.
     """
-    pairs = negative_join(indexed, item_dict, user_dict, dim, negative_k)
+    drawn = scored_with_negatives(indexed, item_dict, user_dict, negative_k)
+    pairs = cut_lineage(drawn.select(*PAIR, "label", "userVec", "itemVec"))
     train, validation = hash_split(pairs, [F.col(c).cast("bigint") for c in PAIR])
     model = models.fit_pair_classifier(train, dim, params)
     reports = {"validation": evaluate_binary(models.predict_pairs(model, validation))}
@@ -136,12 +138,17 @@ def train_single(indexed: DataFrame, params: AppParams) -> DataFrame:
 
 
 def train_clustered(indexed: DataFrame, user_dict: DataFrame, params: AppParams) -> DataFrame:
-    """Clusters of users and one classifier per cluster; metrics and label counts per cluster."""
+    """Clusters of users and one classifier per cluster; metrics, label counts and silhouette per cluster.
+
+    The rows get their cluster by one join and are stored by it, so each fit reads its own rows only.
+    """
     clustered, _ = models.cluster_users(user_dict, params.kmeans)
-    clustered = clustered.persist(StorageLevel.MEMORY_AND_DISK)
+    clustered = cut_lineage(clustered)
     if params.data.model_output:
         write_table(clustered, f"{params.data.model_output}/kmeans")
-    rows = _zero_based(indexed)
+    different = clustered.select("kth").distinct().count()
+    silhouette = models.silhouette(clustered, params.kmeans.feature_col) if different > 1 else None
+    rows = models.stored_by_cluster(_zero_based(indexed), clustered)
     reports: list[DataFrame] = []
 
     def fit(kth: int, data: DataFrame):
@@ -157,15 +164,13 @@ def train_clustered(indexed: DataFrame, user_dict: DataFrame, params: AppParams)
                 F.lit(kth).alias("kth"),
                 F.lit(counts["positives"]).alias("positives"),
                 F.lit(counts["negatives"]).alias("negatives"),
+                F.lit(silhouette).cast("double").alias("silhouette"),
                 *report.columns,
             )
         )
         return model
 
-    try:
-        trained = models.train_per_cluster(params.kmeans.k, lambda kth: models.in_cluster(rows, clustered, kth), fit)
-    finally:
-        clustered.unpersist()
+    trained = models.train_per_cluster(params.kmeans.k, lambda kth: rows.where(F.col("kth") == kth), fit)
     for kth in range(params.kmeans.k):
         if kth not in trained and params.classifier.train:  # a model of an older run would pass for a new one
             remove_model(indexed.sparkSession, models.cluster_model_path(params.classifier.model_path, kth))

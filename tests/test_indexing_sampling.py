@@ -106,7 +106,7 @@ def test_append_negatives(spark, indexed):
 def test_negative_join(spark, indexed):
     users = spark.createDataFrame([(float(u), [1.0, float(u)]) for u in range(30)], "userId double, userVec array<float>")
     items = spark.createDataFrame([(float(i), [float(i), 1.0]) for i in range(39)], "itemId double, itemVec array<float>")
-    rows = sampling.negative_join(indexed, items, users, 2, k=2).collect()
+    rows = sampling.negative_join(indexed, items, users, k=2).collect()
     expected = [p for p in observed(indexed) if p[1] < 39]
     positives = {(r["userId"], r["itemId"]) for r in rows} & set(expected)
     assert positives == set(expected)  # items without a vector leave

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from matchloom.operators import interactions as ops
 from matchloom.operators import vectorising
-from matchloom.operators.support import lookup_join
+from matchloom.operators.support import lookup_join, spread_hot_keys
 from matchloom.sources.word_vectors import STOP_WORDS, load_word_vectors, parse_word_vectors
 
 WORDS = [("red", [1.0, 0.0]), ("blue", [0.0, 2.0]), ("sky", [4.0, 4.0])]
@@ -139,18 +139,36 @@ def test_distinct_values(spark):
     assert sorted(r["x"] for r in ops.distinct_values(df, "x").collect()) == ["1", "2"]
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_is_the_same_broadcast_or_spread(spark, how):
+@pytest.mark.parametrize("hot_rows", [20, 1000])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_lookup_join_is_the_same_broadcast_or_spread(spark, how, hot_rows):
     draw = random.Random(3)
     facts = spark.createDataFrame(
         [(i, "hot" if draw.random() < 0.4 else f"k{draw.randrange(30)}") for i in range(500)], "n int, key string"
     )
     lookup = spark.createDataFrame([(f"k{i}", i) for i in range(20)] + [("hot", -1)], "key string, v int")
-    small = sorted(map(str, lookup_join(facts, lookup, "key", 10, how).select("n", "key", "v").collect()))
-    large = sorted(map(str, lookup_join(facts, lookup, "key", 10, how, limit=10).select("n", "key", "v").collect()))
+    facts = facts.union(spark.createDataFrame([(-1, None), (-2, None)], facts.schema))
+
+    def rows(df):
+        return sorted(str(r.asDict()) for r in df.collect())
+
+    small = rows(lookup_join(facts, lookup, "key", how))
+    large = rows(lookup_join(facts, lookup, "key", how, limit=10, hot_rows=hot_rows))
     assert small == large and len(small) > 0
 
 
+def test_lookup_join_copies_hot_keys_only(spark):
+    """A key on 90 % of the rows is spread; the lookup is not multiplied."""
+    facts = spark.range(20_000).selectExpr("id AS n", "CASE WHEN id % 10 < 9 THEN 0 ELSE id END AS key")
+    lookup = spark.range(20_000).selectExpr("id AS key", "id * 2 AS v")
+    joined = lookup_join(facts, lookup, "key", limit=10, hot_rows=1000)
+    assert joined.count() == 20_000 and joined.where("v <> key * 2").isEmpty()
+    hot = spark.createDataFrame([(0, 18)], "key bigint, _copies bigint")
+    spread, copied = spread_hot_keys(facts, lookup, "key", hot)
+    assert copied.count() == 20_000 + 17
+    assert spread.count() == 20_000 and spread.groupBy("key", "_salt").count().agg(F.max("count")).first()[0] < 1300
+
+
 def test_parse_word_vectors_keeps_one_row_per_word(spark):
     lines = spark.createDataFrame([("w 1 2",), ("w 1 3",), ("w 0 9",)], "value string")
     assert [tuple(r) for r in parse_word_vectors(lines).collect()] == [("w", [1.0, 3.0])]
