@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalog.base import (
@@ -16,11 +19,14 @@ from catalog.base import (
     vector_pairs,
 )
 from catalog.registry import query
+from catalog.sampling import sql_free_negatives
 from matchloom.functions.labels import rounded
+from matchloom.functions.vectors import dot_product
 from matchloom.operators import models
 from matchloom.operators.classification import evaluate_binary
 from matchloom.operators.indexing import hash_split
 from matchloom.operators.sampling import negatives_free
+from matchloom.operators.support import cut_lineage
 from matchloom.params import AlsParams, ClassifierParams, KMeansParams
 
 SMALL = ClassifierParams()
@@ -32,6 +38,22 @@ SQL_HELD_OUT = (
 )
 
 
+_DRAWN = """drawn_and_seen AS (
+  SELECT *, ('0x' || substr(md5('1|' || "userId" || '|' || "itemId"), 1, 8))::BIGINT / 4294967296e0 AS part
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM unseen))"""
+
+
+def _is_class():
+    return F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False))
+
+
+def in_range(report):
+    """Whether every metric of a report is a share, or -1 where there was nothing to divide by."""
+    names = [c for c in ("accuracy", "precision", "recall", "auroc", "aupr", "weightedPrecision", "weightedRecall") if c in report.columns]
+    inside = [F.col(c).between(0, 1) | (F.col(c) == -1) for c in names]
+    return F.coalesce(reduce(Column.__and__, inside), F.lit(False))
+
+
 def _split(df):
     return hash_split(df, ["userId", "itemId"])
 
@@ -49,19 +71,37 @@ def als_scores(spark, sf):
     return scored.select(*_ids(), "label", finite.alias("valid"))
 
 
-@query("als_top_items")
+@query(
+    "als_top_items",
+    ctes(SQL_PAIRS) + 'SELECT DISTINCT "userId", r::INT AS rank, true AS valid FROM pairs, range(1, 11) t(r)',
+)
 def als_top_items(spark, sf):
-    return models.als_top_items(models.fit_als(pairs(spark, sf)), 10)
+    """Ten ranks for every user; whether a score is the product of the factors and no higher than the one before."""
+    model = models.fit_als(pairs(spark, sf))
+    top = models.als_top_items(model, 10)
+    factors = models.factor_vectors(model, top, multiply=False)
+    product = dot_product(F.col("userVec"), F.col("itemVec"))
+    before = F.lag("score").over(Window.partitionBy("userId").orderBy("rank"))
+    agrees = (F.abs(F.col("score") - product) < 1e-4) & (F.col("score") <= F.coalesce(before, F.col("score")))
+    return factors.select(F.col("userId").cast("bigint").alias("userId"), F.col("rank").cast("int").alias("rank"), agrees.alias("valid"))
 
 
-@query("kmeans_users")
+@query("kmeans_users", 'SELECT vec_id AS "userId", true AS valid FROM embeddings')
 def kmeans_users(spark, sf):
-    """Clusters fitted, saved, loaded again and applied by the loaded model."""
+    """Clusters fitted, saved, loaded again and applied by the loaded model; whether a user sits at its nearest centre."""
     path = scratch_path(spark, "kmeans")
     users = user_dict(spark, sf)
     models.cluster_users(users, KMeansParams(model_path=path))
-    clustered, _ = models.cluster_users(users, KMeansParams(model_path=path, train=False))
-    return clustered.select("userId", "kth")
+    clustered, model = models.cluster_users(users, KMeansParams(model_path=path, train=False))
+
+    def distance(centre):
+        there = F.array(*[F.lit(float(x)) for x in centre])
+        apart = F.zip_with("userVec", there, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x)
+
+    apart = F.array(*[distance(c) for c in model.clusterCenters()])
+    valid = F.get(F.col("apart"), F.col("kth")) <= F.array_min("apart") + 1e-6
+    return clustered.withColumn("apart", apart).select("userId", valid.alias("valid"))
 
 
 @query(
@@ -82,52 +122,53 @@ def silhouette(spark, sf):
     return spark.range(1).select(rounded(F.lit(value)).alias("silhouette"))
 
 
-@query("cluster_models")
+@query("cluster_models", "SELECT kth::INT AS kth, true AS valid FROM range(3) t(kth)")
 def cluster_models(spark, sf):
-    """One classifier per cluster and its metrics."""
-    clustered, model = models.cluster_users(user_dict(spark, sf), KMeansParams())
-    clustered = clustered.persist()
-    rows = vector_pairs(spark, sf)
+    """One classifier per cluster, and whether its metrics are in their range."""
+    clustered, _ = models.cluster_users(user_dict(spark, sf), KMeansParams())
+    rows = models.stored_by_cluster(vector_pairs(spark, sf), clustered)
     reports = []
 
     def fit(kth, data):
         train, validation = _split(data)
         classifier = models.fit_pair_classifier(train, EMBEDDING_DIM, SMALL)
         report = evaluate_binary(models.predict_pairs(classifier, validation))
-        reports.append(report.withColumn("kth", F.lit(kth)))
+        reports.append(report.select(F.lit(kth).alias("kth"), in_range(report).alias("valid")))
         return classifier
 
-    models.train_per_cluster(3, lambda kth: models.in_cluster(rows, clustered, kth), fit)
-    clustered.unpersist()
-    out = reports[0]
-    for report in reports[1:]:
-        out = out.unionByName(report)
-    return out
+    models.train_per_cluster(3, lambda kth: rows.where(F.col("kth") == kth), fit)
+    return reduce(DataFrame.unionByName, reports)
+
 
+SQL_VECTOR_PAIRS = SQL_PAIRS + """,
+vector_pairs AS (SELECT * FROM pairs
+  WHERE "userId" IN (SELECT vec_id FROM embeddings) AND "itemId" IN (SELECT vec_id FROM embeddings))"""
 
-@query("cluster_predict")
+
+@query("cluster_predict", ctes(SQL_VECTOR_PAIRS) + "SELECT *, true AS valid FROM vector_pairs")
 def cluster_predict(spark, sf):
-    """Every pair predicted by the classifier of the cluster of its user."""
-    _, clusters = models.cluster_users(user_dict(spark, sf), KMeansParams())
-    clustered = models.assign_clusters(clusters, vector_pairs(spark, sf)).persist()
+    """Every pair predicted by the classifier of the cluster of its user; whether cluster and class are known ones."""
+    users, _ = models.cluster_users(user_dict(spark, sf), KMeansParams())
+    clustered = models.stored_by_cluster(vector_pairs(spark, sf), users)
     classifiers = models.train_per_cluster(
         3,
         lambda kth: clustered.where(F.col("kth") == kth),
         lambda kth, data: models.fit_pair_classifier(data, EMBEDDING_DIM, SMALL),
     )
-    return models.predict_per_cluster(classifiers, clustered).select("userId", "itemId", "label", "kth", "prediction")
+    predicted = models.predict_per_cluster(classifiers, clustered)
+    return predicted.select("userId", "itemId", "label", (F.col("kth").isin(0, 1, 2) & _is_class()).alias("valid"))
 
 
-@query("mlp_pairs")
+@query("mlp_pairs", SQL_HELD_OUT.replace(SQL_PAIRS, SQL_VECTOR_PAIRS).replace("FROM pairs\n    WHERE ('0x'", "FROM vector_pairs\n    WHERE ('0x'"))
 def mlp_pairs(spark, sf):
-    """Classifier on vector pairs: fitted, saved, loaded and applied to held-out pairs."""
+    """Classifier on vector pairs: fitted, saved, loaded and applied to held-out pairs, each of which gets a class."""
     path = scratch_path(spark, "classifier")
     train, test = _split(vector_pairs(spark, sf))
     models.fit_pair_classifier(train, EMBEDDING_DIM, ClassifierParams(model_path=path))
     loaded = models.fit_pair_classifier(
         train, EMBEDDING_DIM, ClassifierParams(train=False, model_path=path)
     )
-    return models.predict_pairs(loaded, test).select("userId", "itemId", "label", "prediction")
+    return models.predict_pairs(loaded, test).select(*_ids(), "label", _is_class().alias("valid"))
 
 
 @query("fm_ids", SQL_HELD_OUT)
@@ -135,14 +176,19 @@ def fm_ids(spark, sf):
     """Held-out pairs, and whether their prediction is one of the classes."""
     train, test = _split(pairs(spark, sf))
     model = models.fit_id_factorisation(train)
-    known = F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False))
-    return models.predict_id_factorisation(model, test).select(*_ids(), "label", known.alias("valid"))
+    return models.predict_id_factorisation(model, test).select(*_ids(), "label", _is_class().alias("valid"))
 
 
-@query("factor_classifier")
+@query(
+    "factor_classifier",
+    ctes(sql_free_negatives(1, 0), _DRAWN)
+    + """SELECT "userId", "itemId", label, true AS valid FROM drawn_and_seen WHERE part >= 0.8
+    AND "userId" IN (SELECT "userId" FROM drawn_and_seen WHERE part < 0.8 AND label > 0)
+    AND "itemId" IN (SELECT "itemId" FROM drawn_and_seen WHERE part < 0.8 AND label > 0)""",
+)
 def factor_classifier(spark, sf):
-    """Classifier over ALS embeddings and their products, on held-out pairs with negatives."""
+    """Classifier over ALS embeddings and their products; held-out pairs and negatives of known ids all get a class."""
     positives = pairs(spark, sf)
-    train, test = _split(negatives_free(positives, 1).unionByName(positives))
+    train, test = _split(cut_lineage(negatives_free(positives, 1).unionByName(positives)))
     fitted = models.fit_factor_classifier(train, AlsParams(rank=20), SMALL)
-    return models.predict_factor_classifier(fitted, test).select("userId", "itemId", "label", "prediction")
+    return models.predict_factor_classifier(fitted, test).select(*_ids(), "label", _is_class().alias("valid"))
