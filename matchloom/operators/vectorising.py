@@ -74,19 +74,24 @@ def both_doc_vectors(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFr
     return attach_doc_vectors(with_doc_keys(df), cut_lineage(keep_long_vectors(vecs, "vec")), "docKey")
 
 
-def clean_and_vectorise(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
-    """Clean canonical interactions, with both document vectors in place of the documents.
+def clean_and_keyed(df: DataFrame, word_vectors: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
+    """Clean canonical interactions with digests in place of the documents, and the vector of each digest.
 
     A document vector of more than one element implies a known word, so the vector join is
-    also the vocabulary check of the cleaning. Texts are shuffled once, and the vectors
-    stored once; everything after that joins digests.
+    also the vocabulary check of the cleaning. Texts are shuffled once, and both tables are
+    stored; everything after that joins digests, and vectors are attached when they are wanted.
     """
     rows = drop_nulls(df.select(*CANONICAL))
     docs = clean_documents(distinct_documents(rows))
     vecs = doc_vectors(docs, word_vectors, dim, ["side", "docKey", "cleanKey"], "doc", "vec", keep_empty=False)
     vecs = cut_lineage(keep_long_vectors(vecs, "vec"))
-    by_text = vecs.select("cleanKey", "vec").distinct()
-    return attach_doc_vectors(clean_pairs(rows, vecs), by_text, "cleanKey")
+    by_text = cut_lineage(vecs.select("cleanKey", "vec").distinct())
+    return cut_lineage(clean_pairs(rows, vecs)), by_text
+
+
+def clean_and_vectorise(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
+    """Clean canonical interactions, with both document vectors in place of the documents."""
+    return attach_doc_vectors(*clean_and_keyed(df, word_vectors, dim), "cleanKey")
 
 
 def attach_doc_vectors(pairs: DataFrame, vecs: DataFrame, key: str) -> DataFrame:
@@ -97,6 +102,17 @@ def attach_doc_vectors(pairs: DataFrame, vecs: DataFrame, key: str) -> DataFrame
     return pairs.drop("userKey", "itemKey")
 
 
+def document_dictionary(pairs: DataFrame, vecs: DataFrame, side: str, dim: int, id_col: str | None = None) -> DataFrame:
+    """One row per id of a side: the mean of the different vectors of its documents.
+
+    Ids meet digests before vectors, so a vector moves once per id and document, not once per interaction.
+    """
+    id_col, key, vec = id_col or f"{side}Id", f"{side}Key", f"{side}Vec"
+    documents = pairs.select(id_col, key).distinct()
+    named = vecs.select(F.col("cleanKey").alias(key), F.col("vec").alias(vec))
+    return dictionary(lookup_join(documents, named, key), id_col, vec, dim)
+
+
 def mean_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:
     """Element-wise mean of all vectors of an id; the divisor is the number of its vectors."""
     dim = dim or vector_width(df, vec_col)

@@ -205,7 +205,7 @@ def run(spark: SparkSession, params: AppParams) -> dict[str, DataFrame]:
         validation = train_clustered(indexed, user_dict, params)
     else:
         validation = train_single(indexed, params)
-    words = load_word_vectors(spark, params.word_vectors.path)
+    words = cut_lineage(load_word_vectors(spark, params.word_vectors.path))
     raw = read_table(spark, params.data.evaluate)
     golden = _zero_based(golden_frame(raw, words, params.word_vectors.dim, params.data.label_col))
     return {"validation": validation, "golden": evaluate_binary(predict_golden(golden, params))}
