@@ -9,12 +9,14 @@ from catalog.base import (
     SQL_PAIRS,
     SQL_RANKED_PAIRS,
     SQL_RAW_APPLICATIONS,
+    SQL_RAW_CLICKS,
     SQL_SCORED_PAIRS,
     ctes,
     order_lines,
     pairs,
     ranked_pairs,
     raw_applications,
+    raw_clicks,
     scored_pairs,
     sql_id_from_url,
     table,
@@ -57,12 +59,16 @@ _APPLICATION_ROWS = _sql_tidy(
     "app_counts",
     ["rows", "applications", "urls", "item_ids", "user_ids", "pairs", "complete", "complete_with_content"],
 )
+_ITEMS_PER_USER = """SELECT 'items_per_user' AS section, items::VARCHAR AS metric, count(*) AS value
+  FROM (SELECT resume_id, count(*) AS items
+    FROM (SELECT DISTINCT resume_id, jobs_job_id FROM with_id WHERE resume_id IS NOT NULL) GROUP BY resume_id)
+  GROUP BY items"""
 
 
 @query(
     "profile_report",
     ctes(SQL_RAW_APPLICATIONS, _WITH_ID, _ITEMS, _USERS, _APPLICATIONS)
-    + f"{_ITEM_ROWS} UNION ALL {_USER_ROWS} UNION ALL {_APPLICATION_ROWS}",
+    + f"{_ITEM_ROWS} UNION ALL {_USER_ROWS} UNION ALL {_APPLICATION_ROWS} UNION ALL {_ITEMS_PER_USER}",
 )
 def profile_report(spark, sf):
     return profiling.profile_report(raw_applications(spark, sf))
@@ -126,6 +132,11 @@ def group_counts(spark, sf):
     return profiling.group_counts(table(spark, sf, "events"), "event_type", "user_id")
 
 
+@query("click_outcomes", ctes(SQL_RAW_CLICKS) + "SELECT apply_flag, is_clicked, count(*) AS count FROM raw_clicks GROUP BY ALL")
+def click_outcomes(spark, sf):
+    return profiling.group_counts(raw_clicks(spark, sf), "apply_flag", "is_clicked")
+
+
 @query(
     "greatest_ids",
     ctes(SQL_PAIRS) + 'SELECT max("userId") AS users, max("itemId") AS items, count(*) AS rows FROM pairs',

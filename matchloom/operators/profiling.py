@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +102,14 @@ def profile_applications(raw: DataFrame) -> DataFrame:
     return _tidy(counts, "application")
 
 
+def items_per_user(raw: DataFrame) -> DataFrame:
+    """How many users have how many different items, by user ids from URLs."""
+    rows = raw.select(text.id_from_url(F.col("resume_url")).alias("resume_id"), "jobs_job_id")
+    counts = count_of_counts(rows, "resume_id", "jobs_job_id", "items", "value")
+    return counts.select(F.lit("items_per_user").alias("section"), F.col("items").cast("string").alias("metric"), "value")
+
+
 def profile_report(raw: DataFrame) -> DataFrame:
     """All sections as (section, metric, value)."""
-    return profile_items(raw).unionByName(profile_users(raw)).unionByName(profile_applications(raw))
+    sections = (profile_items(raw), profile_users(raw), profile_applications(raw), items_per_user(raw))
+    return reduce(DataFrame.unionByName, sections)

@@ -107,5 +107,6 @@ def test_profile_report(spark):
         ("user", "urls"): 2, ("user", "ids"): 1, ("user", "ids_documents"): 1,
         ("application", "rows"): 5, ("application", "applications"): 4, ("application", "urls"): 3,
         ("application", "item_ids"): 3, ("application", "user_ids"): 2, ("application", "pairs"): 3,
+        ("items_per_user", "1"): 1, ("items_per_user", "2"): 1,
         ("application", "complete"): 2, ("application", "complete_with_content"): 1,
     }
