@@ -40,16 +40,29 @@ def pieces(data: bytes, size: int) -> list[bytes]:
 
 
 class CompressionModel:
-    """Two dictionaries and the curve. Without text of both classes every score is the share of good labels."""
+    """Two dictionaries and the curve. Without text of both classes every score is the share of good labels.
 
-    def __init__(self, good: list[str], bad: list[str], params: CompressionParams = CompressionParams()):
+    ``counts``: labelled documents of both classes where ``good`` and ``bad`` are samples of them. The curve and
+    the share follow these counts, so the scores do not depend on how much of a class was sampled.
+    """
+
+    def __init__(
+        self,
+        good: list[str],
+        bad: list[str],
+        params: CompressionParams = CompressionParams(),
+        counts: tuple[int, int] | None = None,
+    ):
         self.params, self.compressors = params, None
-        self.slope, self.base = 0.0, float(np.log((len(good) + 1) / (len(bad) + 1)))
+        counts = counts or (len(good), len(bad))
+        self.slope, self.base = 0.0, float(np.log((counts[0] + 1) / (counts[1] + 1)))
         cut = [[self._spread(t.encode()) for t in texts] for texts in (good, bad)]
         self.dictionaries = [self._dictionary([p for text in texts[::2] for p in text]) for texts in cut]
         held = [[self.difference_of(b"".join(x)) for x in texts[1::2]] for texts in cut]
         if all(held) and all(self.dictionaries):
-            self._fit(np.array(held[0] + held[1]), np.array([1.0] * len(held[0]) + [0.0] * len(held[1])))
+            weights = [[count / len(x)] * len(x) for count, x in zip(counts, held)]
+            y = np.array([1.0] * len(held[0]) + [0.0] * len(held[1]))
+            self._fit(np.array(held[0] + held[1]), y, np.array(weights[0] + weights[1]))
         self.compressors = None
 
     def _spread(self, data: bytes) -> list[bytes]:
@@ -81,15 +94,15 @@ class CompressionModel:
         good, bad = (sum(len(compress(p)) for p in parts) for compress in self.compressors)
         return (bad - good) / len(data)
 
-    def _fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> None:
-        """Logistic regression on one number, by Newton steps; the ridge keeps a clean split finite."""
+    def _fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> None:
+        """Weighted logistic regression on one number, by Newton steps; the ridge keeps a clean split finite."""
         scale = float(np.abs(x).max()) or 1.0
         design = np.stack([x / scale, np.ones_like(x)], axis=1)
         w = np.zeros(2)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-            gradient = design.T @ (p - y) + ridge * w
-            hessian = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+            gradient = design.T @ (weight * (p - y)) + ridge * w
+            hessian = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
             step = np.linalg.solve(hessian, gradient)
             w -= step
             if np.abs(step).max() < 1e-9:
@@ -112,11 +125,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
     The documents of each class with the smallest digests of their ids are taken, so the choice does
     not depend on the order of rows; ids are chosen first, and only the chosen texts are collected, cut to
     ``document_bytes`` around evenly spread places before they leave the executors. Null labels say
-    nothing; a document labelled more than once counts as good if any label says so.
+    nothing; a document labelled more than once counts as good if any label says so. All labelled documents of
+    each class are counted, and the samples weigh as much as their class.
     """
     known = labels.where("doc_id is not null and quality is not null and quality in (0, 1)")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    total = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("quality") == k).orderBy(*order).limit(params.documents) for k in (1, 0)]
     ids = chosen[0].union(chosen[1])
@@ -131,7 +146,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
     texts = docs.select("doc_id", short.alias("text")).join(F.broadcast(ids), "doc_id")
     rows = sorted(texts.distinct().collect(), key=lambda r: (r["doc_id"], r["text"]))
     good, bad = ([r["text"] for r in rows if r["quality"] == k] for k in (1, 0))
-    return CompressionModel(good, bad, params)
+    return CompressionModel(good, bad, params, (total.get(1, 0), total.get(0, 0)))
 
 
 def quality_scores(docs: DataFrame, model: CompressionModel) -> DataFrame:
