@@ -125,7 +125,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
     The documents of each class with the smallest digests of their ids are taken, so the choice does
     not depend on the order of rows; ids are chosen first, and only the chosen texts are collected, cut to
     ``document_bytes`` around evenly spread places before they leave the executors. Null labels say
-    nothing; a document labelled more than once counts as good if any label says so. All labelled documents of
+    nothing; a document labelled more than once counts as good if any label says so, and of rows that share a
+    ``doc_id`` the text with the smallest digest stands for all. All labelled documents of
     each class are counted, and the samples weigh as much as their class.
     """
     known = labels.where("doc_id is not null and quality is not null and quality in (0, 1)")
@@ -143,8 +144,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
         F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, (F.floor(i * size * step) + 1).cast("int"), F.lit(size))
     )
     short = F.when(F.length(text) <= params.document_bytes, text).otherwise(F.array_join(starts, ""))
-    texts = docs.select("doc_id", short.alias("text")).join(F.broadcast(ids), "doc_id")
-    rows = sorted(texts.distinct().collect(), key=lambda r: (r["doc_id"], r["text"]))
+    texts = docs.select("doc_id", short.alias("text"), F.xxhash64("text").alias("digest")).join(F.broadcast(ids), "doc_id")
+    texts = texts.groupBy("doc_id", "quality").agg(F.min_by("text", F.struct("digest", "text")).alias("text"))
+    rows = sorted(texts.collect(), key=lambda r: r["doc_id"])
     good, bad = ([r["text"] for r in rows if r["quality"] == k] for k in (1, 0))
     return CompressionModel(good, bad, params, (total.get(1, 0), total.get(0, 0)))
 

@@ -31,3 +31,14 @@ def test_prior_is_that_of_all_labels(spark):
 def test_share_without_dictionaries_is_that_of_all_labels():
     model = CompressionModel(["x"], [], counts=(599, 99))
     assert model.score("any text") == pytest.approx(600 / 700)
+
+
+def test_one_text_of_a_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("matchloom.llm.compression_classifier.CompressionModel", lambda *args: seen.append(args))
+    rows = [(2, f"text {i}") for i in range(30)] + [(3, "other"), (3, "other"), (4, None)]
+    labels = spark.createDataFrame([(2, 1, 0), (3, 0, 0), (4, 0, 0)], LABELS)
+    fit_quality(docs(spark, rows), labels, CompressionParams(documents=2))
+    (good, bad, _, counts), = seen
+    assert len(good) == 1 and good[0] in {t for i, t in rows if i == 2}
+    assert set(bad) <= {"other", ""} and len(bad) == counts[1] and counts[0] == 1
