@@ -173,10 +173,13 @@ def mlp_pairs(spark, sf):
 
 @query("fm_ids", SQL_HELD_OUT)
 def fm_ids(spark, sf):
-    """Held-out pairs, and whether their prediction is one of the classes."""
+    """Held-out pairs by the classifier on factors, and whether their prediction is one of the classes.
+
+    Ids without a positive in training have no factors; their pairs are trained on and predicted with zeros.
+    """
     train, test = _split(pairs(spark, sf))
-    model = models.fit_id_factorisation(train)
-    return models.predict_id_factorisation(model, test).select(*_ids(), "label", _is_class().alias("valid"))
+    fitted = models.fit_factor_classifier(train, AlsParams(rank=20), SMALL, unknown=True)
+    return models.predict_factor_classifier(fitted, test, unknown=True).select(*_ids(), "label", _is_class().alias("valid"))
 
 
 @query(

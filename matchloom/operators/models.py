@@ -192,15 +192,20 @@ def predict_per_cluster(models: Mapping[int, Any], clustered: DataFrame) -> Data
 # --- classifiers on ids ------------------------------------------------------------------
 
 
-def factor_vectors(model: ALSModel, pairs: DataFrame, multiply: bool = True) -> DataFrame:
+def factor_vectors(model: ALSModel, pairs: DataFrame, multiply: bool = True, unknown: bool = False) -> DataFrame:
     """ALS factors as embeddings: ``userVec``, and ``itemVec`` with the products of both behind it.
 
-    Factors stay distributed tables. Without ``multiply`` only the two embeddings are given.
+    Factors stay distributed tables. Without ``multiply`` only the two embeddings are given. Pairs with an
+    id without factors are left out, or with ``unknown`` get zeros for it.
     """
     users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("userVec"))
     items = model.itemFactors.select(F.col("id").alias("itemId"), F.col("features").alias("itemVec"))
-    joined = lookup_join(pairs, users, "userId")
-    joined = lookup_join(joined, items, "itemId")
+    how = "left" if unknown else "inner"
+    joined = lookup_join(pairs, users, "userId", how=how)
+    joined = lookup_join(joined, items, "itemId", how=how)
+    if unknown:
+        zeros = F.array_repeat(F.lit(0.0).cast("float"), model.rank)
+        joined = joined.withColumns({c: F.coalesce(F.col(c), zeros) for c in ("userVec", "itemVec")})
     if not multiply:
         return joined
     product = F.zip_with("userVec", "itemVec", lambda u, i: u * i)
@@ -208,21 +213,24 @@ def factor_vectors(model: ALSModel, pairs: DataFrame, multiply: bool = True) ->
 
 
 def fit_factor_classifier(
-    train: DataFrame, als: AlsParams, params: ClassifierParams, multiply: bool = True
+    train: DataFrame, als: AlsParams, params: ClassifierParams, multiply: bool = True, unknown: bool = False
 ) -> tuple[ALSModel, MultilayerPerceptronClassificationModel]:
     """Embeddings from ALS on the positives, then a perceptron over them."""
     embeddings = fit_als(train.where(F.col("label") > 0), als)
-    rows = factor_vectors(embeddings, train, multiply).select("userVec", "itemVec", "label")
+    rows = factor_vectors(embeddings, train, multiply, unknown).select("userVec", "itemVec", "label")
     width = als.rank * (3 if multiply else 2)
     vector_rows = _pair_vector(rows).select(PAIR_VECTOR, F.col("label").cast("double").alias("label"))
     return embeddings, pair_classifier(width, params).fit(vector_rows)
 
 
 def predict_factor_classifier(
-    models: tuple[ALSModel, MultilayerPerceptronClassificationModel], pairs: DataFrame, multiply: bool = True
+    models: tuple[ALSModel, MultilayerPerceptronClassificationModel],
+    pairs: DataFrame,
+    multiply: bool = True,
+    unknown: bool = False,
 ) -> DataFrame:
     embeddings, classifier = models
-    predicted = predict_pairs(classifier, factor_vectors(embeddings, pairs, multiply))
+    predicted = predict_pairs(classifier, factor_vectors(embeddings, pairs, multiply, unknown))
     return predicted.select(*pairs.columns, "prediction")
 
 
