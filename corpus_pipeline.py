@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, similar
+from matchloom.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash
 from matchloom.llm.common import stored, table
 
 
@@ -20,8 +20,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of at least 0.8 similarity in five-word shingles stays."""
-    return similar.keep_one(docs)
+    """One document of each SimHash component stays: the one with the smallest ``doc_id``.
+
+    Shingles of three words and at most two differing bits, as the operator's own query has them.
+    """
+    return simhash.keep_first(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
