@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm import byte_bpe, compression_classifier, decontaminate, line_dedup, pii, quality_rules, sharding, simhash
-from matchloom.llm import token_counts, token_files
-from matchloom.llm.common import shared_path, table
-from matchloom.llm.sql import LINE_DEDUP, QUALITY_RULES
+from matchloom.llm import byte_bpe, compression_classifier, conversation_trie, decontaminate, fill_middle, line_dedup, pii
+from matchloom.llm import quality_rules, sharding, simhash, token_counts, token_files, url_filters
+from matchloom.llm.common import shared_path, stored, table
+from matchloom.llm.sql import CONVERSATION_TRIE, FILL_MIDDLE, LINE_DEDUP, QUALITY_RULES, URL_FILTERS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeated_lines(docs, removed="n_removed")
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filters.judge_urls(pages, url_filters.rule_table(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.turn_digests(table(spark, sf_dir, "conversations"))
+    return conversation_trie.conversation_trie(conversation_trie.share_heads(turns))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = stored(fill_middle.text_frames(table(spark, sf_dir, "documents")), "text-frames")
+    return fill_middle.with_digests(fill_middle.fill_in_middle(framed))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,7 +104,16 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_quality_rules,
         op10_line_dedup,
+        op11_url_filters,
+        op12_conversation_trie,
+        op13_fill_in_middle,
     )
 }
 
-SQL: dict[str, str] = {"op9_quality_rules": QUALITY_RULES, "op10_line_dedup": LINE_DEDUP}
+SQL: dict[str, str] = {
+    "op9_quality_rules": QUALITY_RULES,
+    "op10_line_dedup": LINE_DEDUP,
+    "op11_url_filters": URL_FILTERS,
+    "op12_conversation_trie": CONVERSATION_TRIE,
+    "op13_fill_in_middle": FILL_MIDDLE,
+}

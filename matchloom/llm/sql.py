@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from matchloom.llm.quality_rules import CAPITALS, RiskParams
+from matchloom.llm.url_filters import LOWER, RULES, UPPER
 
 _PARAMS = RiskParams()
 _RULES = list(_PARAMS.grid)
@@ -78,3 +79,67 @@ SELECT l.doc_id, coalesce(len(gone), 0)::BIGINT AS n_removed,
     ELSE array_to_string([a[i] FOR i IN range(1, len(a) + 1) IF NOT list_contains(gone, i)], chr(10)) END AS text
 FROM l LEFT JOIN c ON l.doc_id = c.doc_id
 """
+
+_RULE_ROWS = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+
+URL_FILTERS = f"""
+WITH rules(verdict, host, path) AS (VALUES {_RULE_ROWS}),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+f AS (
+  SELECT rid, r.host || r.path AS rule, verdict
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(r.host || r.path) DESC, r.host || r.path DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN f ON p.rid = f.rid
+"""
+
+_CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+_CRC = """xor(list_reduce(list_prepend(4294967295, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+    lambda c, b: xor(c // 256, crc_table[xor(c, b) % 256 + 1])), 4294967295)"""
+
+CONVERSATION_TRIE = f"""
+WITH k AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: {_CRC_STEP})) AS crc_table),
+o AS (
+  SELECT conv_id, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS x, length(coalesce(text, '')) AS n,
+    turn FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, x, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) AS place FROM o),
+ids AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t), k),
+sizes AS (SELECT conv_id AS base, max(place) AS there FROM t WHERE place < 6 GROUP BY ALL),
+r AS (
+  SELECT ids.conv_id, place AS depth, x, n FROM ids JOIN t ON t.conv_id = base AND place <= h
+  UNION ALL
+  SELECT ids.conv_id, place - h + least(h, coalesce(there, 0)), x, n FROM ids JOIN t ON t.conv_id = ids.conv_id AND place > h
+    LEFT JOIN sizes ON sizes.base = ids.base
+  UNION ALL SELECT conv_id, 0, '', 0 FROM ids),
+p AS (SELECT conv_id, depth, n, string_agg(x, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key, max(depth) OVER (PARTITION BY conv_id) AS last FROM r),
+nodes AS (
+  SELECT key, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = last) AS ends
+  FROM p GROUP BY key),
+kids AS (SELECT substr(key, 1, greatest(length(key) - 32, 0)) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (
+  SELECT p.key, count(*) FILTER (kids.key IS NULL) AS n_leaves, sum((n_convs - 1) * nodes.n) AS saved
+  FROM nodes LEFT JOIN kids ON kids.key = nodes.key JOIN p ON p.conv_id = nodes.conv_id AND p.depth <= nodes.depth GROUP BY p.key)
+SELECT a.conv_id, a.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id, a.n_convs::BIGINT AS n_convs,
+  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(a.ends, '')) AS ends_sha256
+FROM nodes a JOIN below ON below.key = a.key LEFT JOIN kids ON kids.key = a.key
+LEFT JOIN nodes parent ON a.depth > 0 AND parent.key = substr(a.key, 1, length(a.key) - 32)
+"""
+
+FILL_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(x, 1, 8))::BIGINT % (length(t) + 1) AS a, ('0x' || substr(x, 9, 8))::BIGINT % (length(t) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(x, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(x, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (SELECT *, least(a, b) AS lo, greatest(a, b) AS hi FROM h),
+s AS (SELECT *, substr(t, 1, lo) AS p, substr(t, lo + 1, hi - lo) AS m, substr(t, hi + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM s
+"""
