@@ -27,14 +27,16 @@ class KMeansParams:
 
 @dataclass(frozen=True)
 class ClassifierParams:
-    """``epochs`` becomes the iteration bound of the optimiser and ``batch_size`` the block size.
+    """Networks take ``epochs`` passes over batches of ``batch_size`` rows; step n has the size ``learning_rate / (1 + decay * n)``.
 
-    ``learning_rate`` is the step size of the solver ``gd``; ``l-bfgs`` picks its own.
+    For Spark's perceptron ``epochs`` bounds the iterations, ``batch_size`` is the block size, and the solver
+    ``gd`` uses ``learning_rate``.
     """
 
     batch_size: int = 1024
     epochs: int = 20
     learning_rate: float = 5e-2
+    decay: float = 1e-6
     train: bool = True
     model_path: str = ""
     hidden_layers: tuple[int, ...] = (40, 20, 10)
