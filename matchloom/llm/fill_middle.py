@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import byte_slices
+from matchloom.llm.common import BATCH_BYTES, byte_slices
 
 FRAME = 1 << 16
 LEVEL = 1
@@ -26,11 +26,7 @@ ORDER = {"psm": "PSM", "spm": "SPM"}
 PLAIN = "plain"
 PLAIN_FROM, SPM_BELOW = 90, 20  # of 100
 FRAMES_SCHEMA = "frames array<binary>, starts array<bigint>, marked boolean"
-RESULT_SCHEMA = "n bigint, form string, prefix_chars bigint, middle_chars bigint, frames array<binary>"
-
-
-def _compressor() -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
+RESULT_SCHEMA = "n bigint, form string, prefix_chars bigint, middle_chars bigint"
 
 
 def _unit_starts(data: bytes) -> np.ndarray:
@@ -81,56 +77,64 @@ def choose(doc_id, n: int, marked: bool) -> tuple[str, int, int]:
     return form, *cuts
 
 
-def rearrange(frames: list[bytes], starts: list[int], form: str, low: int, high: int) -> list[bytes]:
-    """Frames of the result: the text as it is, or its three parts behind their marks in the form's order."""
-    if form == PLAIN:
-        return frames
-    compress, decompress = _compressor().compress, zstandard.ZstdDecompressor().decompress
-    edges = {"P": (0, low), "M": (low, high), "S": (high, starts[-1])}
-    result = []
-    for part in ORDER[form]:
-        result.append(compress(MARKS[part]))
-        result += select_units(frames, starts, *edges[part], compress, decompress)
-    return result
-
-
-def digest_of(frames: list[bytes]) -> str:
-    """SHA-256 of what the frames hold, one frame at a time."""
-    decompress, digest = zstandard.ZstdDecompressor().decompress, hashlib.sha256()
-    for frame in frames:
-        digest.update(decompress(frame))
-    return digest.hexdigest()
-
-
-def restored(frames: list[bytes], form: str) -> Iterator[bytes]:
-    """The text again, piece by piece, from the frames of a result and its form alone.
-
-    Texts that hold a mark are plain, so each mark is found once; one may lie across frames.
-    """
-    decompress = zstandard.ZstdDecompressor().decompress
-    if form == PLAIN:
-        yield from map(decompress, frames)
-        return
-    marks = [MARKS[p] for p in ORDER[form]]
-    found, offsets, at, tail = {}, [0], 0, b""
-    for frame in frames:
-        data = decompress(frame)
-        window = tail + data
-        for mark in marks:
-            if mark not in found and (place := window.find(mark)) >= 0:
-                found[mark] = at - len(tail) + place
-        at += len(data)
-        offsets.append(at)
-        tail = window[-2:]
-    begins = [found[m] for m in marks]
-    parts = {p: (b + len(MARKS[p]), e) for p, b, e in zip(ORDER[form], begins, [*begins[1:], at])}
-    for part in "PMS":
-        first, last = parts[part]
-        for i in range(int(np.searchsorted(offsets, first, "right")) - 1, len(frames)):
-            if offsets[i] >= last:
-                break
-            if offsets[i + 1] > first:
-                yield decompress(frames[i])[max(0, first - offsets[i]) : last - offsets[i]]
+class Codec:
+    """Compressor and decompressor of a task; they are reused from frame to frame."""
+
+    def __init__(self):
+        self.compress = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True).compress
+        self.decompress = zstandard.ZstdDecompressor().decompress
+        self.marks = {part: self.compress(mark) for part, mark in MARKS.items()}
+
+    def rearrange(self, frames: list[bytes], starts: list[int], form: str, low: int, high: int) -> list[bytes]:
+        """Frames of the result: the text as it is, or its three parts behind their marks in the form's order."""
+        if form == PLAIN:
+            return frames
+        edges = {"P": (0, low), "M": (low, high), "S": (high, starts[-1])}
+        result = []
+        for part in ORDER[form]:
+            result.append(self.marks[part])
+            result += select_units(frames, starts, *edges[part], self.compress, self.decompress)
+        return result
+
+    def digests(self, frames: list[bytes], form: str) -> tuple[str, str]:
+        """SHA-256 of what the frames hold, and of the text restored from them; one frame is held at a time."""
+        output, back = hashlib.sha256(), hashlib.sha256()
+        for frame in frames:
+            output.update(self.decompress(frame))
+        if form == PLAIN:
+            return output.hexdigest(), output.hexdigest()
+        for piece in self.restored(frames, form):
+            back.update(piece)
+        return output.hexdigest(), back.hexdigest()
+
+    def restored(self, frames: list[bytes], form: str) -> Iterator[bytes]:
+        """The text again, piece by piece, from the frames of a result and its form alone.
+
+        Texts that hold a mark are plain, so each mark is found once; one may lie across frames.
+        """
+        if form == PLAIN:
+            yield from map(self.decompress, frames)
+            return
+        marks = [MARKS[p] for p in ORDER[form]]
+        found, offsets, at, tail = {}, [0], 0, b""
+        for frame in frames:
+            data = self.decompress(frame)
+            window = tail + data
+            for mark in marks:
+                if mark not in found and (place := window.find(mark)) >= 0:
+                    found[mark] = at - len(tail) + place
+            at += len(data)
+            offsets.append(at)
+            tail = window[-2:]
+        begins = [found[m] for m in marks]
+        parts = {p: (b + len(MARKS[p]), e) for p, b, e in zip(ORDER[form], begins, [*begins[1:], at])}
+        for part in "PMS":
+            first, last = parts[part]
+            for i in range(int(np.searchsorted(offsets, first, "right")) - 1, len(frames)):
+                if offsets[i] >= last:
+                    break
+                if offsets[i + 1] > first:
+                    yield self.decompress(frames[i])[max(0, first - offsets[i]) : last - offsets[i]]
 
 
 def _columns(docs: DataFrame, names: tuple[str, ...]) -> str:
@@ -144,7 +148,7 @@ def text_frames(docs: DataFrame, frame_bytes: int = FRAME, keep: tuple[str, ...]
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = _compressor().compress
+        compress = Codec().compress
         for batch in batches:
             column = batch.column("text")
             for start, stop in byte_slices(column):
@@ -160,46 +164,43 @@ def text_frames(docs: DataFrame, frame_bytes: int = FRAME, keep: tuple[str, ...]
     return rows.mapInArrow(run, f"{_columns(docs, keep)}, {FRAMES_SCHEMA}")
 
 
-def fill_in_middle(framed: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def fill_in_middle(framed: DataFrame, keep: tuple[str, ...] = ("doc_id",), digests: bool = False) -> DataFrame:
     """Results of the transformation for texts as ``text_frames`` gives them; ``frames`` hold the new text.
 
     ``n`` units are cut in three by the digest of ``doc_id``; the lengths of prefix and middle are null for
     plain texts, which are the empty ones, those with a mark in them and a tenth of the others. Rows that share
-    a ``doc_id`` share the draw, not the cuts.
+    a ``doc_id`` share the draw, not the cuts. With ``digests``, ``output_sha256`` and ``restored_sha256`` (of the
+    new text, and of the old one rebuilt from it) take the place of the frames.
     """
+    given = ["n", "form", "prefix_chars", "middle_chars", *(["output_sha256", "restored_sha256"] if digests else ["frames"])]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), *([pa.string()] * 2 if digests else [pa.list_(pa.binary())])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec()
         for batch in batches:
+            rows: list[tuple] = []
+            first = held = 0
+
+            def emit(last: int) -> pa.RecordBatch:
+                columns = [batch.column(c).slice(first, last - first) for c in keep]
+                columns += [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                return pa.RecordBatch.from_arrays(columns, [*keep, *given])
+
             for row in range(batch.num_rows):
                 frames, starts, marked, name = (batch.column(c)[row].as_py() for c in ("frames", "starts", "marked", "doc_id"))
                 form, low, high = choose(name, starts[-1], marked)
-                lengths = [None, None] if form == PLAIN else [low, high - low]
-                values = [starts[-1], form, *lengths, rearrange(frames, starts, form, low, high)]
-                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.binary())]
-                columns = [batch.column(c).slice(row, 1) for c in keep] + [pa.array([v], t) for v, t in zip(values, types)]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "n", "form", "prefix_chars", "middle_chars", "frames"])
-
-    return framed.mapInArrow(run, f"{_columns(framed, keep)}, {RESULT_SCHEMA}")
-
-
-def with_digests(results: DataFrame) -> DataFrame:
-    """Results with ``output_sha256`` and ``restored_sha256``, of the new text and of the old one rebuilt from it, in place of the frames."""
-    rest = [c for c in results.columns if c != "frames"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            output, back = [], []
-            for frames, form in zip(batch.column("frames"), batch.column("form").to_pylist()):
-                frames = frames.as_py()
-                digest = hashlib.sha256()
-                for piece in restored(frames, form):
-                    digest.update(piece)
-                output.append(digest_of(frames))
-                back.append(digest.hexdigest())
-            columns = [batch.column(c) for c in rest] + [pa.array(output, pa.string()), pa.array(back, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*rest, "output_sha256", "restored_sha256"])
-
-    return results.mapInArrow(run, f"{_columns(results, tuple(rest))}, output_sha256 string, restored_sha256 string")
+                made = codec.rearrange(frames, starts, form, low, high)
+                last = codec.digests(made, form) if digests else (made,)
+                rows.append((starts[-1], form, *((None, None) if form == PLAIN else (low, high - low)), *last))
+                held += 256 if digests else sum(map(len, made))
+                if held > BATCH_BYTES:
+                    yield emit(row + 1)
+                    rows, first, held = [], row + 1, 0
+            if rows:
+                yield emit(batch.num_rows)
+
+    last = "output_sha256 string, restored_sha256 string" if digests else "frames array<binary>"
+    return framed.mapInArrow(run, f"{_columns(framed, keep)}, {RESULT_SCHEMA}, {last}")
 
 
 def texts(framed: DataFrame, into: str = "text") -> DataFrame:

@@ -88,7 +88,7 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = stored(fill_middle.text_frames(table(spark, sf_dir, "documents")), "text-frames")
-    return fill_middle.with_digests(fill_middle.fill_in_middle(framed))
+    return fill_middle.fill_in_middle(framed, digests=True)
 
 
 QUERIES: dict[str, Query] = {

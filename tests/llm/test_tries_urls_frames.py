@@ -170,9 +170,9 @@ def test_fill_in_middle(spark, size):
     want = [(i, *expected(i, t)) for i, t in rows]
     assert got == sorted((i or -1, n, form, p or 0, m or 0, t) for i, n, form, p, m, t in want)
     sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
-    digests = sorted((r["doc_id"] or -1, r["output_sha256"], r["restored_sha256"]) for r in fill_middle.with_digests(result).collect())
+    digests = sorted((r["doc_id"] or -1, r["output_sha256"], r["restored_sha256"]) for r in fill_middle.fill_in_middle(framed, digests=True).collect())
     assert digests == sorted((i or -1, sha(expected(i, t)[-1]), sha(t)) for i, t in rows)
-    assert fill_middle.with_digests(fill_middle.fill_in_middle(fill_middle.text_frames(docs(spark, [])))).count() == 0
+    assert fill_middle.fill_in_middle(fill_middle.text_frames(docs(spark, [])), digests=True).count() == 0
 
 
 def test_only_cut_frames_are_opened():
