@@ -36,6 +36,7 @@ BAND = 64  # turns of a segment
 SHARD = 1 << 16  # nodes of a shard
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within the partition below
 KEY = 16  # bytes of a key
+PIECE = 4096  # conversations spelled in one piece
 
 SHARD_SCHEMA = (
     "part int, shard int, opening boolean, closing boolean, parentheses binary, keys binary, chars binary, counts binary, "
@@ -348,29 +349,47 @@ def shard_nodes(shard: dict[str, bytes], band: int = BAND) -> dict[str, np.ndarr
 
 
 def _ends(cut: DataFrame, band: int) -> DataFrame:
-    """Digest of the conversations that end at a node, in ascending order, as the rows pass by."""
+    """Digest of the conversations that end at a node, in ascending order, as they pass by.
+
+    Ranges of (node, conversation) are spelled first, in pieces of at most ``PIECE`` conversations, so the task that
+    takes the digest of a node reads pieces, not conversations.
+    """
     last = cut.where("not going")
     whole = F.length("path") == KEY * band
     key = F.unhex(F.md5(F.when(whole, F.col("below")).otherwise(F.concat("above", "path"))))
-    rows = last.select(key.alias("key"), "conv_id").repartition("key").sortWithinPartitions("key", "conv_id")
+    rows = last.select(key.alias("key"), "conv_id").repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces: list[tuple] = []
+            keys, convs = (batch.column(c).to_pylist() for c in ("key", "conv_id"))
+            start = 0
+            for i in range(1, len(keys) + 1):
+                if i == len(keys) or keys[i] != keys[start] or i - start == PIECE:
+                    pieces.append((keys[start], convs[start], ",".join(map(str, convs[start:i]))))
+                    start = i
+            columns = list(zip(*pieces)) or [[], [], []]
+            types = (pa.binary(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "first", "piece"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, digest = None, None
         for batch in batches:
             done: tuple[list, list] = ([], [])
-            for k, conv in zip(batch.column("key").to_pylist(), batch.column("conv_id").to_pylist()):
+            for k, piece in zip(batch.column("key").to_pylist(), batch.column("piece").to_pylist()):
                 if k != key:
                     if key is not None:
                         done[0].append(key)
                         done[1].append(digest.hexdigest())
-                    key, digest = k, hashlib.sha256(str(conv).encode())
+                    key, digest = k, hashlib.sha256(piece.encode())
                 else:
-                    digest.update(f",{conv}".encode())
+                    digest.update(f",{piece}".encode())
             yield pa.RecordBatch.from_arrays([pa.array(done[0], pa.binary()), pa.array(done[1], pa.string())], ["key", "ends"])
         if key is not None:
             yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), pa.array([digest.hexdigest()])], ["key", "ends"])
 
-    return rows.mapInArrow(run, "key binary, ends string")
+    pieces = rows.mapInArrow(spell, "key binary, first bigint, piece string")
+    return pieces.repartition("key").sortWithinPartitions("key", "first").mapInArrow(run, "key binary, ends string")
 
 
 def _carried(cut: DataFrame, nodes: DataFrame, band: int) -> DataFrame:
