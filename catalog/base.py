@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.functions import text
-from matchloom.functions.labels import rounded
+from matchloom.functions.labels import rounded, to_zero_one
 from matchloom.functions.vectors import abs_cosine
 from matchloom.operators.ranking import cross_top_k
 from matchloom.operators.sampling import attach_vectors
 from matchloom.operators.support import use_checkpoint_dir
+from matchloom.params import AppParams, DataParams, WordVectorParams
+from matchloom.plans.preprocess import preprocess
 from matchloom.schemas import RAW_APPLICATIONS, RAW_INTERACTIONS
-from matchloom.sources.tables import read_table, write_table
+from matchloom.sources.tables import read_preprocessed, read_table, write_table
 from matchloom.sources.word_vectors import STOP_WORDS, load_word_vectors
 
 WORD_DIM = 8
@@ -200,6 +202,23 @@ def sql_id_from_url(url: str) -> str:
     return f"CASE WHEN {url} IS NOT NULL AND trim({url}) <> '' THEN {out} END"
 
 
+def preprocessed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Indexed interactions, user vectors and item vectors of the click layout, written once per application."""
+
+    def write(path: str) -> None:
+        data = DataParams(raw=raw_clicks_path(spark, sf), preprocessed=path)
+        preprocess(spark, AppParams(data=data, word_vectors=WordVectorParams(word_vector_file(spark, sf), WORD_DIM)))
+
+    return read_preprocessed(spark, _stored(spark, sf, "preprocessed", write))
+
+
+def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The preprocessed interactions with whole ids and labels 0/1, as training jobs take them."""
+    indexed, _, _ = preprocessed(spark, sf)
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("userId", "itemId")]
+    return indexed.select(*ids, to_zero_one(F.col("label")).alias("label"), "userVec", "itemVec")
+
+
 # --- vectors and scores ------------------------------------------------------------------
 
 
@@ -326,3 +345,11 @@ golden AS (
   SELECT "userId" AS resume_id, "itemId" AS job_id, label, users.idx AS "userId", items.idx AS "itemId",
          "userKey", "itemKey"
   FROM vectorised JOIN users ON users.id = "userId" JOIN items ON items.id = "itemId")"""
+
+SQL_PART = """('0x' || substr(md5('1|' || "userId" || '|' || "itemId"), 1, 8))::BIGINT / 4294967296e0"""
+
+# the preprocessed interactions as ``training_pairs`` gives them, with the digest that splits them
+SQL_TRAINING = SQL_GOLDEN + f""",
+training AS (
+  SELECT *, {SQL_PART} AS part
+  FROM (SELECT "userId"::BIGINT AS "userId", "itemId"::BIGINT AS "itemId", label - 1 AS label FROM golden))"""

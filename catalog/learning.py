@@ -4,30 +4,32 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    EMBEDDING_DIM,
     SQL_PAIRS,
+    SQL_TRAINING,
+    WORD_DIM,
     ctes,
     pairs,
+    preprocessed,
     scratch_path,
     sql_round,
     table,
+    training_pairs,
     user_dict,
-    vector_pairs,
 )
 from catalog.registry import query
 from catalog.sampling import sql_free_negatives
 from matchloom.functions.labels import rounded
 from matchloom.functions.vectors import dot_product
-from matchloom.operators import models
-from matchloom.operators.classification import evaluate_binary
+from matchloom.operators import id_embeddings, models, networks
+from matchloom.operators.classification import evaluate_binary_by
 from matchloom.operators.indexing import hash_split
 from matchloom.operators.sampling import negatives_free
-from matchloom.operators.support import cut_lineage
-from matchloom.params import AlsParams, ClassifierParams, KMeansParams
+from matchloom.operators.support import cut_lineage, lookup_join
+from matchloom.params import AlsParams, ClassifierParams, EmbeddingParams, KMeansParams
 
 SMALL = ClassifierParams()
 # held-out pairs by digest; models cannot be expressed in SQL, but which rows come out and what is valid can
@@ -38,7 +40,7 @@ SQL_HELD_OUT = (
 )
 
 
-_DRAWN = """drawn_and_seen AS (
+_DRAWN = """drawn_and_seen AS MATERIALIZED (
   SELECT *, ('0x' || substr(md5('1|' || "userId" || '|' || "itemId"), 1, 8))::BIGINT / 4294967296e0 AS part
   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM unseen))"""
 
@@ -48,10 +50,11 @@ def _is_class():
 
 
 def in_range(report):
-    """Whether every metric of a report is a share, or -1 where there was nothing to divide by."""
+    """Whether every metric of a report is a share, or -1 or NULL by rule where there was nothing to work it out from."""
     names = [c for c in ("accuracy", "precision", "recall", "auroc", "aupr", "weightedPrecision", "weightedRecall") if c in report.columns]
-    inside = [F.col(c).between(0, 1) | (F.col(c) == -1) for c in names]
-    return F.coalesce(reduce(Column.__and__, inside), F.lit(False))
+    areas = ("auroc", "aupr")  # NULL where a class has no row
+    inside = [F.coalesce(F.col(c).between(0, 1) | (F.col(c) == -1), F.lit(c in areas)) for c in names]
+    return reduce(Column.__and__, inside)
 
 
 def _split(df):
@@ -122,55 +125,69 @@ def silhouette(spark, sf):
     return spark.range(1).select(rounded(F.lit(value)).alias("silhouette"))
 
 
-@query("cluster_models", "SELECT kth::INT AS kth, true AS valid FROM range(3) t(kth)")
-def cluster_models(spark, sf):
-    """One classifier per cluster, and whether its metrics are in their range."""
-    clustered, _ = models.cluster_users(user_dict(spark, sf), KMeansParams())
-    rows = models.stored_by_cluster(vector_pairs(spark, sf), clustered)
-    reports = []
+SQL_VALIDATION = ctes(SQL_TRAINING) + """SELECT "userId", "itemId", label, true AS valid FROM training WHERE part >= 0.8"""
 
-    def fit(kth, data):
-        train, validation = _split(data)
-        classifier = models.fit_pair_classifier(train, EMBEDDING_DIM, SMALL)
-        report = evaluate_binary(models.predict_pairs(classifier, validation))
-        reports.append(report.select(F.lit(kth).alias("kth"), in_range(report).alias("valid")))
-        return classifier
 
-    models.train_per_cluster(3, lambda kth: rows.where(F.col("kth") == kth), fit)
-    return reduce(DataFrame.unionByName, reports)
+def _clustered(spark, sf):
+    """The preprocessed interactions with the cluster of their user, stored."""
+    _, users, _ = preprocessed(spark, sf)
+    clustered, _ = models.cluster_users(users, KMeansParams())
+    clusters = clustered.select(F.col("userId").cast("bigint").alias("userId"), "kth")
+    return cut_lineage(lookup_join(training_pairs(spark, sf), clusters, "userId"))
 
 
-SQL_VECTOR_PAIRS = SQL_PAIRS + """,
-vector_pairs AS (SELECT * FROM pairs
-  WHERE "userId" IN (SELECT vec_id FROM embeddings) AND "itemId" IN (SELECT vec_id FROM embeddings))"""
+@query(
+    "cluster_models",
+    ctes(SQL_TRAINING) + "SELECT true AS valid, 3::BIGINT AS models, count(*) AS scored FROM training WHERE part >= 0.8",
+)
+def cluster_models(spark, sf):
+    """The classifiers of all clusters trained together; whether the metrics of each are in their range, and on how many rows."""
+    train, validation = _split(_clustered(spark, sf))
+    predicted = networks.predict_networks(networks.fit_networks(train, WORD_DIM, SMALL), validation)
+    report = evaluate_binary_by(predicted, "kth").join(predicted.groupBy("kth").count(), "kth")
+    return report.agg(F.bool_and(in_range(report)).alias("valid"), F.count(F.lit(1)).alias("models"), F.sum("count").alias("scored"))
 
 
-@query("cluster_predict", ctes(SQL_VECTOR_PAIRS) + "SELECT *, true AS valid FROM vector_pairs")
+@query("cluster_predict", ctes(SQL_TRAINING) + """SELECT "userId", "itemId", label, true AS valid FROM training""")
 def cluster_predict(spark, sf):
-    """Every pair predicted by the classifier of the cluster of its user; whether cluster and class are known ones."""
-    users, _ = models.cluster_users(user_dict(spark, sf), KMeansParams())
-    clustered = models.stored_by_cluster(vector_pairs(spark, sf), users)
-    classifiers = models.train_per_cluster(
-        3,
-        lambda kth: clustered.where(F.col("kth") == kth),
-        lambda kth, data: models.fit_pair_classifier(data, EMBEDDING_DIM, SMALL),
-    )
-    predicted = models.predict_per_cluster(classifiers, clustered)
+    """Every interaction predicted by the classifier of the cluster of its user; whether cluster and class are known ones."""
+    rows = _clustered(spark, sf)
+    predicted = networks.predict_networks(networks.fit_networks(rows, WORD_DIM, SMALL), rows)
     return predicted.select("userId", "itemId", "label", (F.col("kth").isin(0, 1, 2) & _is_class()).alias("valid"))
 
 
-@query("mlp_pairs", SQL_HELD_OUT.replace(SQL_PAIRS, SQL_VECTOR_PAIRS).replace("FROM pairs\n    WHERE ('0x'", "FROM vector_pairs\n    WHERE ('0x'"))
+@query("mlp_pairs", SQL_VALIDATION)
 def mlp_pairs(spark, sf):
-    """Classifier on vector pairs: fitted, saved, loaded and applied to held-out pairs, each of which gets a class."""
+    """Spark's perceptron on vector pairs: fitted, saved, loaded and applied to held-out pairs, each of which gets a class."""
     path = scratch_path(spark, "classifier")
-    train, test = _split(vector_pairs(spark, sf))
-    models.fit_pair_classifier(train, EMBEDDING_DIM, ClassifierParams(model_path=path))
-    loaded = models.fit_pair_classifier(
-        train, EMBEDDING_DIM, ClassifierParams(train=False, model_path=path)
-    )
+    train, test = _split(training_pairs(spark, sf))
+    models.fit_pair_classifier(train, WORD_DIM, ClassifierParams(model_path=path))
+    loaded = models.fit_pair_classifier(train, WORD_DIM, ClassifierParams(train=False, model_path=path))
     return models.predict_pairs(loaded, test).select(*_ids(), "label", _is_class().alias("valid"))
 
 
+@query("network_pairs", SQL_VALIDATION)
+def network_pairs(spark, sf):
+    """The network on vector pairs: trained by batches, saved, loaded and applied to held-out pairs; its loss has to fall."""
+    path = scratch_path(spark, "network")
+    train, test = _split(training_pairs(spark, sf))
+    model = networks.fit_or_load_networks(train, WORD_DIM, ClassifierParams(model_path=path))
+    loaded = networks.fit_or_load_networks(train, WORD_DIM, ClassifierParams(train=False, model_path=path))
+    fell = F.lit(bool(model.losses[-1] < model.losses[0]))
+    return networks.predict_networks(loaded, test).select(*_ids(), "label", (_is_class() & fell).alias("valid"))
+
+
+@query("id_embeddings", SQL_HELD_OUT)
+def id_embedding_pairs(spark, sf):
+    """Held-out pairs by the classifier with learned embeddings; whether class and probability are valid and the loss fell."""
+    train, test = _split(pairs(spark, sf))
+    model = id_embeddings.fit_id_embeddings(train, EmbeddingParams(epochs=4))
+    fell = F.lit(bool(model.losses[-1] < model.losses[0]))
+    predicted = id_embeddings.predict_id_embeddings(model, test)
+    agrees = (F.col("prediction") == 1.0) == (F.col("score") > 0.5)
+    return predicted.select(*_ids(), "label", (_is_class() & agrees & fell).alias("valid"))
+
+
 @query("fm_ids", SQL_HELD_OUT)
 def fm_ids(spark, sf):
     """Held-out pairs by the classifier on factors, and whether their prediction is one of the classes.
@@ -185,9 +202,10 @@ def fm_ids(spark, sf):
 @query(
     "factor_classifier",
     ctes(sql_free_negatives(1, 0), _DRAWN)
-    + """SELECT "userId", "itemId", label, true AS valid FROM drawn_and_seen WHERE part >= 0.8
-    AND "userId" IN (SELECT "userId" FROM drawn_and_seen WHERE part < 0.8 AND label > 0)
-    AND "itemId" IN (SELECT "itemId" FROM drawn_and_seen WHERE part < 0.8 AND label > 0)""",
+    + """, known AS MATERIALIZED (SELECT "userId", "itemId" FROM drawn_and_seen WHERE part < 0.8 AND label > 0)
+    SELECT "userId", "itemId", label, true AS valid FROM drawn_and_seen d
+    SEMI JOIN (SELECT DISTINCT "userId" FROM known) u USING ("userId")
+    SEMI JOIN (SELECT DISTINCT "itemId" FROM known) i USING ("itemId") WHERE part >= 0.8""",
 )
 def factor_classifier(spark, sf):
     """Classifier over ALS embeddings and their products; held-out pairs and negatives of known ids all get a class."""

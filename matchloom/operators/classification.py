@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from matchloom.functions.labels import to_decimal, to_zero_one
 
 
+AREAS = {"auroc": "areaUnderROC", "aupr": "areaUnderPR"}
+
+
 def outcome_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per label and prediction."""
     return df.groupBy(
@@ -65,6 +68,12 @@ def binary_ratios(cells: DataFrame) -> DataFrame:
     )
 
 
+def _has_both(counts: DataFrame) -> bool:
+    """Whether a positive and a negative row are there; areas under curves mean nothing otherwise."""
+    row = counts.agg(F.bool_or(F.col("label") > 0.5).alias("p"), F.bool_or(F.col("label") <= 0.5).alias("n")).first()
+    return bool(row["p"] and row["n"])
+
+
 def _binary(counts: DataFrame, metric: str) -> float:
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol="prediction", labelCol="label", weightCol="n", metricName=metric, numBins=0
@@ -105,41 +114,69 @@ def weighted_precision_recall(df: DataFrame) -> DataFrame:
     )
 
 
-def _one_row(df: DataFrame, values: dict[str, float]) -> DataFrame:
-    row = [F.lit(float(value)).alias(name) for name, value in values.items()]
+def _one_row(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    row = [F.lit(value).cast("double").alias(name) for name, value in values.items()]
     return df.sparkSession.range(1).select(*row)
 
 
 def evaluate_multiclass(df: DataFrame) -> DataFrame:
-    """One row: area under ROC, accuracy, weighted precision and recall, to 3 places; rows without label or prediction stay out."""
+    """One row: area under ROC, accuracy, weighted precision and recall, to 3 places; rows without label or prediction stay out.
+
+    The area is NULL where one of the classes has no row; with nothing scored every metric is NULL.
+    """
     counts = outcome_counts(_scored(df)).persist()
     try:
-        values = {
-            "auroc": _binary(counts, "areaUnderROC"),
-            "accuracy": _multiclass(counts, "accuracy"),
-            "weightedPrecision": _multiclass(counts, "weightedPrecision"),
-            "weightedRecall": _multiclass(counts, "weightedRecall"),
-        }
+        shares = ("accuracy", "weightedPrecision", "weightedRecall")
+        some = not counts.isEmpty()
+        values = {"auroc": _binary(counts, "areaUnderROC") if some and _has_both(counts) else None}
+        values |= {name: _multiclass(counts, name) if some else None for name in shares}
     finally:
         counts.unpersist()
     return _one_row(df, values).select(*[to_decimal(F.col(c), 3).alias(c) for c in values])
 
 
 def evaluate_binary(df: DataFrame) -> DataFrame:
-    """One row: accuracy, precision, recall, areas under ROC and PR, to 3 places; rows without label or prediction stay out."""
+    """One row: accuracy, precision, recall, areas under ROC and PR, to 3 places; rows without label or prediction stay out.
+
+    Ratios are -1 where there is nothing to divide by, so with nothing scored; areas are NULL where one of the
+    classes has no row.
+    """
     counts = outcome_counts(_scored(df)).persist()
     try:
-        ratios = binary_ratios(_confusion(counts)).first().asDict()
-        values = {
-            **ratios,
-            "auroc": _binary(counts, "areaUnderROC"),
-            "aupr": _binary(counts, "areaUnderPR"),
-        }
+        both = _has_both(counts)
+        values = binary_ratios(_confusion(counts)).first().asDict()
+        values |= {name: _binary(counts, metric) if both else None for name, metric in AREAS.items()}
     finally:
         counts.unpersist()
     return _one_row(df, values).select(*[to_decimal(F.col(c), 3).alias(c) for c in values])
 
 
+def evaluate_binary_by(df: DataFrame, key: str) -> DataFrame:
+    """:func:`evaluate_binary` for each value of a key, for predictions that are classes 0 or 1; one aggregate for all.
+
+    A key whose rows have no label or no prediction keeps its row, with -1 and NULL. The areas are those of a
+    curve with one step: through the point of the predicted positives.
+    """
+    known = F.col("label").isNotNull() & F.col("prediction").isNotNull()
+
+    def cell(prediction: float, label: float) -> Column:
+        return F.count_if(known & (F.col("prediction") == prediction) & (F.col("label") == label))
+
+    cells = df.groupBy(key).agg(cell(1, 1).alias("tp"), cell(1, 0).alias("fp"), cell(0, 0).alias("tn"), cell(0, 1).alias("fn"))
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    recall, right = F.try_divide(tp, tp + fn), F.try_divide(tn, tn + fp)
+    share = F.try_divide(tp + fn, tp + fn + tn + fp)
+    precision = F.coalesce(F.try_divide(tp, tp + fp), share)
+    areas = {"auroc": (recall + right) / 2, "aupr": recall * precision + (1 - recall) * (precision + share) / 2}
+    values = {
+        "accuracy": _ratio(tp + tn, tp + tn + fp + fn),
+        "precision": _ratio(tp, tp + fp),
+        "recall": _ratio(tp, tp + fn),
+        **{name: F.when((tp + fn > 0) & (tn + fp > 0), area) for name, area in areas.items()},
+    }
+    return cells.select(key, *[to_decimal(v, 3).alias(name) for name, v in values.items()])
+
+
 def evaluate_predictions(df: DataFrame) -> DataFrame:
     """:func:`evaluate_binary` for labels and predictions given as 1/2."""
     return evaluate_binary(

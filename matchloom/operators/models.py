@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    FMClassifier,
-    MultilayerPerceptronClassificationModel,
-    MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +21,7 @@ from matchloom.sources.models import fit_or_load
 
 PAIR_VECTOR = "_pairVector"
 CLUSTER_VECTOR = "_clusterVector"
+ROWS_PER_PART = 100_000  # users in a task of a clustering
 
 
 # --- ALS ---------------------------------------------------------------------------------
@@ -85,7 +80,11 @@ def fit_kmeans(df: DataFrame, params: KMeansParams) -> KMeansModel:
         featuresCol=CLUSTER_VECTOR,
         predictionCol="kth",
     )
-    return kmeans.fit(df.select(vectors.array_to_ml_vector(F.col(params.feature_col)).alias(CLUSTER_VECTOR)))
+    rows = df.select(*[c for c in df.columns if c != "kth"])
+    parts = max(1, math.ceil(rows.count() / ROWS_PER_PART))  # by the data alone, so that the start does not hang on the cluster
+    digest = F.xxhash64(F.col("userId")) if "userId" in rows.columns else F.xxhash64(params.feature_col)
+    dealt = rows.withColumn("_place", digest).repartition(parts, "_place").sortWithinPartitions("_place")
+    return kmeans.fit(dealt.select(vectors.array_to_ml_vector(F.col(params.feature_col)).alias(CLUSTER_VECTOR)))
 
 
 def cluster_users(users: DataFrame, params: KMeansParams) -> tuple[DataFrame, KMeansModel]:
@@ -113,14 +112,6 @@ def in_cluster(interactions: DataFrame, users: DataFrame, kth: int) -> DataFrame
     return lookup_join(interactions, members, "userId", how="left_semi").select(*interactions.columns)
 
 
-def stored_by_cluster(interactions: DataFrame, users: DataFrame) -> DataFrame:
-    """Interactions with the cluster of their user, written by cluster: one cluster's rows are read alone."""
-    numbered = lookup_join(interactions, users.select("userId", "kth"), "userId")
-    path = f"{use_checkpoint_dir(interactions.sparkSession)}/clusters-{uuid.uuid4().hex}"
-    numbered.write.partitionBy("kth").parquet(path)
-    return interactions.sparkSession.read.schema(numbered.schema).parquet(path)
-
-
 # --- pair classifiers --------------------------------------------------------------------
 
 
@@ -163,10 +154,6 @@ def predict_pairs(model: MultilayerPerceptronClassificationModel, df: DataFrame)
     return model.transform(_pair_vector(df)).drop(PAIR_VECTOR, "rawPrediction", "probability")
 
 
-def cluster_model_path(base: str, kth: int) -> str:
-    return f"{base}{kth}" if base else ""
-
-
 def train_per_cluster(
     k: int,
     data_of: Callable[[int], DataFrame],
@@ -232,48 +219,3 @@ def predict_factor_classifier(
     embeddings, classifier = models
     predicted = predict_pairs(classifier, factor_vectors(embeddings, pairs, multiply, unknown))
     return predicted.select(*pairs.columns, "prediction")
-
-
-def fit_id_factorisation(
-    train: DataFrame,
-    factors: int = 20,
-    buckets: int | None = None,
-    max_iter: int = 20,
-    step: float = 1e-2,
-    seed: int = 1,
-    most: int = 1 << 24,
-) -> PipelineModel:
-    """Factorisation machine over hashed ids.
-
-    There are at least eight buckets per different id unless ``buckets`` says otherwise. The driver holds
-    ``buckets * factors`` numbers; more than ``most`` of them fail: use the classifier on factors then.
-    """
-    if buckets is None:
-        ids = train.agg(F.count_distinct("userId").alias("u"), F.count_distinct("itemId").alias("i")).first()
-        buckets = 1 << (8 * max(1, ids["u"] + ids["i"]) - 1).bit_length()
-    if buckets * factors > most:
-        raise ValueError("too many ids for one factorisation machine; train the classifier on factors")
-    hasher = FeatureHasher(
-        inputCols=["userId", "itemId"],
-        categoricalCols=["userId", "itemId"],
-        numFeatures=buckets,
-        outputCol=PAIR_VECTOR,
-    )
-    machine = FMClassifier(
-        featuresCol=PAIR_VECTOR,
-        labelCol="label",
-        factorSize=factors,
-        maxIter=max_iter,
-        stepSize=step,
-        solver="adamW",
-        seed=seed,
-    )
-    return Pipeline(stages=[hasher, machine]).fit(_id_rows(train))
-
-
-def _id_rows(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in ("userId", "itemId", "label") if c in df.columns})
-
-
-def predict_id_factorisation(model: PipelineModel, pairs: DataFrame) -> DataFrame:
-    return model.transform(_id_rows(pairs)).drop(PAIR_VECTOR, "rawPrediction", "probability")

@@ -44,6 +44,23 @@ class ClassifierParams:
     solver: str = "l-bfgs"
 
 
+@dataclass(frozen=True)
+class EmbeddingParams:
+    """``multiply`` adds the product branch; ``block_ids`` and ``cell_rows`` bound what a task holds and trains on."""
+
+    width: int = 20
+    hidden_layers: tuple[int, ...] = (20, 10)
+    multiply: bool = True
+    epochs: int = 10
+    batch_size: int = 256
+    learning_rate: float = 5e-2
+    decay: float = 1e-6
+    spread: float = 0.1
+    seed: int = 1
+    block_ids: int = 200_000
+    cell_rows: int = 1_000_000
+
+
 @dataclass(frozen=True)
 class AlsParams:
     max_iter: int = 5
@@ -69,5 +86,5 @@ class AppParams:
     word_vectors: WordVectorParams = field(default_factory=WordVectorParams)
     kmeans: KMeansParams = field(default_factory=KMeansParams)
     classifier: ClassifierParams = field(default_factory=ClassifierParams)
-    negative_k: int = 1
+    negative_k: int = 0  # drawn pairs for each interaction of a training job, beside the label 0 of the data
     mode: str = MODE_CLASSIFIER

@@ -110,3 +110,36 @@ def test_profile_report(spark):
         ("items_per_user", "1"): 1, ("items_per_user", "2"): 1,
         ("application", "complete"): 2, ("application", "complete_with_content"): 1,
     }
+
+
+def _metrics(row):
+    return {k: None if v is None else float(v) for k, v in row.asDict().items()}
+
+
+@pytest.mark.parametrize(
+    "rows, binary, multi",
+    [
+        ([], {"accuracy": -1, "precision": -1, "recall": -1}, {}),
+        ([(None, 1.0), (1.0, None)], {"accuracy": -1, "precision": -1, "recall": -1}, {}),
+        ([(1.0, 1.0)] * 3 + [(1.0, 0.0)], {"accuracy": 0.75, "precision": 1, "recall": 0.75}, {"accuracy": 0.75, "weightedPrecision": 1, "weightedRecall": 0.75}),
+        ([(0.0, 0.0)] * 2, {"accuracy": 1, "precision": -1, "recall": -1}, {"accuracy": 1, "weightedPrecision": 1, "weightedRecall": 1}),
+    ],
+)
+def test_nothing_or_one_class_to_score(spark, rows, binary, multi):
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    assert _metrics(metrics.evaluate_binary(df).first()) == {"auroc": None, "aupr": None, **binary}
+    names = ("auroc", "accuracy", "weightedPrecision", "weightedRecall")
+    assert _metrics(metrics.evaluate_multiclass(df).first()) == {**dict.fromkeys(names), **multi}
+    shifted = df.selectExpr("label + 1 as label", "prediction + 1 as prediction")
+    assert _metrics(metrics.evaluate_predictions(shifted).first()) == {"auroc": None, "aupr": None, **binary}
+
+
+def test_metrics_by_key_equal_those_of_each_key(spark):
+    draw = random.Random(4)
+    rows = [(k, float(draw.random() < 0.4), float(draw.random() < share)) for k, share in enumerate((0.5, 0.1, 0.9)) for _ in range(60)]
+    rows += [(3, 1.0, 1.0), (3, 0.0, 1.0), (4, 1.0, 0.0), (5, None, 1.0), (6, 0.0, 0.0), (6, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "kth int, label double, prediction double").cache()
+    got = {r["kth"]: _metrics(r) for r in metrics.evaluate_binary_by(df, "kth").collect()}
+    assert sorted(got) == list(range(7))
+    for kth in got:
+        assert got[kth] == {"kth": kth, **_metrics(metrics.evaluate_binary(df.where(f"kth = {kth}")).first())}

@@ -46,11 +46,8 @@ def test_loading_needs_a_path(spark):
         models.cluster_users(users, KMeansParams(train=False, model_path=""))
 
 
-def test_solver_and_size_of_factorisation(spark):
+def test_perceptron_takes_its_parameters(spark):
     assert models.pair_classifier(4, ClassifierParams(solver="gd", learning_rate=0.5)).getSolver() == "gd"
-    train = spark.createDataFrame([(1, 2, 1.0), (3, 4, 0.0)], "userId int, itemId int, label double")
-    with pytest.raises(ValueError, match="too many ids"):
-        models.fit_id_factorisation(train, most=100)
 
 
 def test_saved_models(spark, tmp_path):

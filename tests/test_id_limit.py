@@ -1,14 +1,11 @@
-"""The registered id classifier has no limit in ids."""
+"""The registered id classifiers have no limit in ids."""
 
-from catalog import QUERIES
-from matchloom.operators import models
+import pytest
 
+from catalog import QUERIES
 
-def test_fm_ids_makes_no_bucket_per_id(spark, monkeypatch):
-    def fail(*args, **more):
-        raise ValueError("too many ids for one factorisation machine")
 
-    monkeypatch.setattr(models, "fit_id_factorisation", fail)
-    out = QUERIES["fm_ids"](spark, "/root/testdata/sf0.001")
-    rows = out.collect()
+@pytest.mark.parametrize("name", ["fm_ids", "id_embeddings"])
+def test_every_held_out_pair_gets_a_class(spark, name):
+    rows = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r["valid"] for r in rows)
