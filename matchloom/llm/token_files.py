@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,6 +43,8 @@ SEGMENT_SCHEMA = "part int, segment int, first bigint, doc_ids array<{kind}>, n_
 _LINE = 0xFFFFFFFF  # stands for a line end between words; no token has this id
 _END = _LINE.to_bytes(4, "little")
 _HEAD = "<4sIQ"
+# words of Latin letters up to U+024F but for U+0130, whose lower case is two characters
+PLAIN = r"^[\x21-\x{12F}\x{131}-\x{24F}]+$"
 _BLOCK = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "u1")])
 
 
@@ -149,6 +152,23 @@ def read_document(payload: bytes, number: int) -> np.ndarray:
     return unpack(body, starts[blocks])[at : at + last - first]
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """Characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + n) for n, b in enumerate(rest)}
+
+
+_BYTES = _byte_alphabet()
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """Words without white space as strings; one string that is cut is far cheaper than one conversion for each."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py().split(" ")
+
+
 class WordTokenizer:
     """Ids by the library, worked out once for each different word of a worker.
 
@@ -166,7 +186,9 @@ class WordTokenizer:
         steps = [x["type"] for x in (config.get("normalizer") or {}).get("normalizers", [])]
         first = next(iter((config.get("pre_tokenizer") or {}).get("pretokenizers", [])), {})
         self.pattern = first.get("pattern", {}).get("Regex")
-        self.cuts = steps == ["NFC", "Replace", "Lowercase"] and first.get("behavior") == "Removed" and bool(self.pattern)
+        rest = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])[1:]
+        spelled = [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in rest] == [("ByteLevel", False, False)]
+        self.cuts = steps == ["NFC", "Replace", "Lowercase"] and first.get("behavior") == "Removed" and bool(self.pattern) and spelled
         self.words, self.tokens = Pieces(self._of_words), Pieces(self._of_tokens)
 
     def _tokenizer(self):
@@ -177,7 +199,6 @@ class WordTokenizer:
             self.loaded = Tokenizer.from_file(self.model)
             self.loaded.no_truncation()
             self.loaded.no_padding()
-            self.plain = regex.compile(r"[\x21-įı-ɏ]+").fullmatch
             self.split = regex.compile(f"{self.pattern}|\n").findall
         return self.loaded
 
@@ -193,42 +214,57 @@ class WordTokenizer:
         return result
 
     def _of_tokens(self, tokens: list[str]) -> list[bytes]:
-        """Matches of the pattern, which the library gets as one text with a space between them: each is a word of it."""
+        """Ids of matches of the pattern, which the model of the library gets one by one, spelled in its byte alphabet."""
+        split = self._tokenizer().model.tokenize
+        pack = struct.Struct
+        forms = [pack(f"<{n}I").pack for n in range(64)]
         result: list[bytes] = []
-        for start in range(0, len(tokens), 20_000):
-            part = tokens[start : start + 20_000]
-            found = self._tokenizer().encode(" ".join(t for t in part if t != "\n"), add_special_tokens=False)
-            data = np.array(found.ids, "<u4").tobytes()
-            edges = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))
-            edges = iter(zip(edges.tolist(), edges[1:].tolist()))
-            split = [_END if t == "\n" else data[slice(*next(edges))] for t in part]
-            if len(found.word_ids) and found.word_ids[-1] != len(part) - part.count("\n") - 1:
-                raise ValueError("the tokenizer splits words in another way")
-            result += split
+        for token in tokens:
+            if token == "\n":
+                result.append(_END)
+                continue
+            if not token.isascii():
+                token = token.encode().decode("latin-1").translate(_BYTES)
+            ids = [t.id for t in split(token)]
+            result.append(forms[len(ids)](*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes())
         return result
 
     def _of_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word; the plain ones are split together, with line ends between them."""
         self._tokenizer()
-        plain = [w for w in words if self.plain(w) and "<|" not in w]
+        given = pa.array(words, pa.string())
+        plain = pc.and_not(pc.match_substring_regex(given, PLAIN), pc.match_substring(given, "<|"))
         number = self.tokens.start()
-        places = [*map(number, self.split("\n".join([*plain, ""]).lower()))]
+        lines = "".join(f"{w}\n" for w in _strings(given.filter(plain)))
+        places = [*map(number, self.split(lines.lower()))]
         value = self.tokens.settle()
         ids = np.frombuffer(b"".join(map(value, places)), "<u4")
         ends = 4 * np.flatnonzero(ids == _LINE)
         data = ids.tobytes()
-        found = dict(zip(plain, (data[a:b] for a, b in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist()))))
-        found.update(zip(others := [w for w in words if w not in found], self._by_library(others)))
-        return [found[w] for w in words]
+        found = (data[a:b] for a, b in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist()))
+        others = iter(self._by_library(given.filter(pc.invert(plain)).to_pylist()))
+        return [next(found if p else others) for p in plain.to_pylist()]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        number = self.words.start()
+        """Ids of each text: words are split and numbered by Arrow, looked up once each, and their ids gathered."""
         odd = [not self.cuts or ODD.search(t) is not None for t in texts]
-        cut = [[] if o else list(map(number, t.split())) for t, o in zip(texts, odd)]
+        split = pc.utf8_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        number = self.words.start()
+        numbers = [number(w) if w else -1 for w in _strings(coded.dictionary)]
         value = self.words.settle()
+        values = [value(n) if n >= 0 else b"" for n in numbers]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        starts = (np.cumsum(sizes) - sizes)[codes] - ends + lengths
+        places = np.repeat(starts, lengths)
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(values), "<u4")[places]
+        edges = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
         whole = iter(self._by_library([t for t, o in zip(texts, odd) if o]))
-        data = [next(whole) if o else b"".join(map(value, c)) for c, o in zip(cut, odd)]
-        return [np.frombuffer(d, "<u4") for d in data]
+        return [np.frombuffer(next(whole), "<u4") if o else ids[a:b] for o, a, b in zip(odd, edges, edges[1:])]
 
 
 def write_token_files(docs: DataFrame, path: str, model: str = MODEL, end: int = END) -> None:
