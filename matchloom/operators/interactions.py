@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions import labels, text, vectors
 from matchloom.operators.support import cut_lineage, lookup_join
+from matchloom.operators.words import HEAD_BYTES, TOKENS, scan_words, tail_words, word_tiers
 
 CANONICAL = ["userId", "itemId", "userDoc", "itemDoc", "label"]
 
@@ -110,10 +111,21 @@ def clean_pairs(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def docs_with_known_word(docs: DataFrame, word_vectors: DataFrame, key: str, doc: str) -> DataFrame:
-    """Keys of the documents that hold at least one word of the dictionary."""
-    words = docs.select(key, F.explode_outer(F.array_distinct(text.tokens(F.col(doc)))).alias("word"))
-    return lookup_join(words, word_vectors.select("word"), "word").select(key).distinct()
+def docs_with_known_word(
+    docs: DataFrame, word_vectors: DataFrame, key: str, doc: str, head_bytes: int = HEAD_BYTES
+) -> DataFrame:
+    """Keys of the documents that hold at least one word of the dictionary.
+
+    Only documents without a word of the dictionary's head look further, with their words that its tail may have.
+    """
+    words = docs.select(key, text.tokens(F.col(doc)).alias(TOKENS))
+    tiers = word_tiers(words, word_vectors.select("word", F.array().cast("array<float>").alias("vec")), head_bytes)
+    scanned = scan_words(words, tiers, 0)
+    if tiers.tail is None:
+        return scanned.where("hits > 0").select(key).distinct()
+    scanned = cut_lineage(scanned)
+    rare = tail_words(scanned.where("hits = 0"), [key], tiers).select(key)
+    return scanned.where("hits > 0").select(key).union(rare).distinct()
 
 
 def clean_interactions(df: DataFrame, word_vectors: DataFrame) -> DataFrame:

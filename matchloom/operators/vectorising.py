@@ -16,6 +16,8 @@ from matchloom.operators.interactions import (
     with_doc_keys,
 )
 from matchloom.operators.support import cut_lineage, lookup_join
+from matchloom.operators.vector_sums import COUNT, MOST, SUM, WIDTH, sum_vectors
+from matchloom.operators.words import HEAD_BYTES, TOKENS, scan_words, tail_words, word_tiers
 
 
 def vector_width(df: DataFrame, vec: str) -> int:
@@ -23,19 +25,10 @@ def vector_width(df: DataFrame, vec: str) -> int:
     return df.agg(F.max(F.size(vec)).alias("width")).first()["width"] or 0
 
 
-def _sums(vec: str, dim: int) -> list[Column]:
-    """One running sum per dimension: fixed-size buffers that combine before the shuffle."""
-    return [F.sum(F.get(F.col(vec), F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)]
-
-
-def _divided(dim: int, divisor: Column) -> Column:
-    """Sums over the divisor, cut to the longest vector seen; empty when none was seen.
-
-    A vector longer than ``dim`` fails the job: its other elements would be lost.
-    """
-    parts = F.array(*[F.try_divide(F.col(f"_s{i}"), divisor) for i in range(dim)])
-    whole = F.slice(parts, 1, F.coalesce(F.col("_width"), F.lit(0)))
-    return F.when(F.col("_width") > dim, F.raise_error(F.lit(f"a vector has more than {dim} elements"))).otherwise(whole)
+def _divided(divisor: Column) -> Column:
+    """Sums over the divisor, cut to the longest vector seen; empty when none was seen."""
+    whole = F.transform(SUM, lambda x: F.try_divide(x, divisor))
+    return F.slice(whole, 1, F.coalesce(F.col(WIDTH), F.lit(0)))
 
 
 def doc_vectors(
@@ -46,21 +39,31 @@ def doc_vectors(
     doc: str,
     out: str,
     keep_empty: bool = True,
+    head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
     """Frequency-weighted mean of the word vectors of each document, one row per key.
 
     The divisor counts every token, also those without a vector, so unknown words dilute.
     A document without a known word has an empty vector, or leaves when ``keep_empty`` is off.
-    Each token adds its vector to running sums that combine within the task before the one
-    shuffle by key; nothing is collected per document.
+    Documents look up the most used words where they lie; only rarer ones are joined, and only if the dictionary
+    may have them. One shuffle of one row per document follows; a vector longer than ``dim`` fails the job.
     """
     keys = [key] if isinstance(key, str) else key
-    words = docs.select(*keys, text.tokens(F.col(doc)).alias("_tokens"))
-    # the outer form: the plain one would have Spark tokenise once more to filter empty lists
-    words = words.select(*keys, F.size("_tokens").alias("_n"), F.explode_outer("_tokens").alias("word"))
-    hits = lookup_join(words, word_vectors.select("word", "vec"), "word", "left" if keep_empty else "inner")
-    sums = hits.groupBy(*keys).agg(*_sums("vec", dim), F.max("_n").alias("_n"), F.max(F.size("vec")).alias("_width"))
-    return sums.select(*keys, _divided(dim, F.col("_n")).alias(out))
+    words = docs.select(*keys, text.tokens(F.col(doc)).alias(TOKENS))
+    tiers = word_tiers(words, word_vectors.select("word", "vec"), head_bytes)
+    scanned = scan_words(words, tiers, dim)
+    part = [*keys, "vec", "n", "width"]
+    if tiers.tail is not None:
+        scanned = cut_lineage(scanned)
+        scaled = F.transform("vec", lambda x: x.cast("double") * F.col("uses")).alias("vec")
+        tail = tail_words(scanned, keys, tiers).select(*keys, scaled, F.lit(0).cast("bigint").alias("n"), F.size("vec").alias("width"))
+        scanned = scanned.select(*part).unionByName(tail)
+    elif not keep_empty:
+        scanned = scanned.where("hits > 0")
+    totals = sum_vectors(scanned.select(*part), keys, "vec", dim, most="n", width="width")
+    if not keep_empty:
+        totals = totals.where(F.col(COUNT) > 0)
+    return totals.select(*keys, _divided(F.col(MOST)).alias(out))
 
 
 def both_doc_vectors(df: DataFrame, word_vectors: DataFrame, dim: int) -> DataFrame:
@@ -115,11 +118,8 @@ def document_dictionary(pairs: DataFrame, vecs: DataFrame, side: str, dim: int,
 
 def mean_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:
     """Element-wise mean of all vectors of an id; the divisor is the number of its vectors."""
-    dim = dim or vector_width(df, vec_col)
-    sums = df.groupBy(id_col).agg(
-        *_sums(vec_col, dim), F.count(vec_col).alias("_n"), F.max(F.size(vec_col)).alias("_width")
-    )
-    return sums.select(id_col, _divided(dim, F.col("_n")).alias(vec_col))
+    totals = sum_vectors(df, [id_col], vec_col, dim or vector_width(df, vec_col))
+    return totals.select(id_col, _divided(F.col(COUNT)).alias(vec_col))
 
 
 def dictionary(indexed: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:
