@@ -89,7 +89,8 @@ def _merged(keys: list[str], dim: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.Table.from_batches([batch]) if waiting is None else pa.concat_tables([waiting, pa.Table.from_batches([batch])])
+            arrived = pa.Table.from_arrays([batch.column(n) for n in names], names)
+            table = arrived if waiting is None else pa.concat_tables([waiting, arrived])
             columns = {n: table.column(n).combine_chunks() for n in names}
             vectors, _ = matrix(columns[SUM], dim)
             numbers = [columns[n].to_numpy(zero_copy_only=False) for n in (COUNT, WIDTH, MOST)]

@@ -94,6 +94,9 @@ def test_sums_by_key(spark):
         want = [sum((v[p] or 0) for v in vectors if p < len(v)) for p in range(4)]
         assert np.allclose(r["_sum"], want) and r["_count"] == len(vectors)
         assert (r["_width"], r["_most"]) == (max(map(len, vectors), default=0), max(x[3] or 0 for x in mine))
+    many = spark.range(0, 60_000, 1, 3).select(F.lit("side").alias("side"), (F.col("id") % 25_000).alias("k"), F.array(F.lit(1.0)).alias("v"))
+    spread = sum_vectors(many, ["side", "k"], "v", 1)  # several batches on both sides of the shuffle, a key that is never null
+    assert spread.agg(F.sum(F.col("_sum")[0]), F.count("k"), F.max("_count")).first()[:] == (60_000, 25_000, 3)
     with pytest.raises(Exception, match="more than 3 elements"):
         sum_vectors(table, ["k"], "v", 3).collect()
     assert sum_vectors(table.limit(0), ["k"], "v", 3).count() == 0
