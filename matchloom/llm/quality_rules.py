@@ -1,11 +1,12 @@
 """Quality rules whose cutoffs carry a guarantee, in DataFrame operations only.
 
-Each rule rejects a document when one statistic lies above a cutoff. Cutoffs are picked per
-stratum (language) from a fixed grid: the strictest one for which the labelled documents show,
-by an exact binomial test, that it rejects at most ``risk`` of the good ones. The level of the
-tests is shared out over all strata and rules; within a rule the cutoffs are tried from the
-loosest on, so they need no further correction (fixed-sequence testing). A stratum with too
-few labels to show anything gets no cutoff.
+Each rule rejects a document when one statistic lies above a cutoff. Settings hold one cutoff for
+every rule, from loose to strict. Each stratum (language) gets the strictest setting for which its labelled
+documents show, by an exact binomial test, that all rules together, the base rule among them, reject at most
+``risk`` of the good ones: the promise is for the verdict, not for a rule. The level of the tests is shared out
+over the strata; within a stratum settings are tried from the loosest on and each rejects what the one before
+it does, so they need no further correction (fixed-sequence testing). A stratum with too few labels to show
+anything gets no cutoff.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 5
 
-# Candidate cutoffs, loosest first. A document is rejected above its cutoff.
+# Candidate cutoffs, loosest first. A document is rejected above its cutoff. Setting n takes the n-th of each, or the last.
 GRID = {
     "symbol_share": (2.0, 1.0, 0.5, 0.3, 0.2, 0.1, 0.05),
     "mark_share": (1.0, 0.7, 0.5, 0.3, 0.2, 0.1, 0.05),
@@ -37,7 +38,7 @@ GRID = {
 
 @dataclass(frozen=True)
 class RiskParams:
-    """``risk``: share of a stratum's good documents that one rule may reject; ``level``: chance that any claim is wrong."""
+    """``risk``: share of a stratum's good documents that may be rejected; ``level``: chance that the claim of any stratum is wrong."""
 
     risk: float = 0.01
     level: float = 0.05
@@ -135,25 +136,33 @@ def allowed_rejections(n: Column, risk: float, level: float) -> Column:
     return F.aggregate(steps, start, add, lambda state: state["most"])
 
 
+def settings(grid: dict[str, tuple[float, ...]]) -> list[dict[str, float]]:
+    """One cutoff for every rule each, from loose to strict."""
+    return [{rule: cutoffs[min(n, len(cutoffs) - 1)] for rule, cutoffs in grid.items()} for n in range(max(map(len, grid.values())))]
+
+
 def fit_cutoffs(labelled: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
-    """Strictest proven cutoff of each rule: one row per stratum, NULL where none is proven.
+    """Cutoffs of the strictest proven setting: one row per stratum, NULL where none is proven.
 
     ``labelled`` holds ``stratum``, ``good`` (boolean) and ``stats``. One aggregation; its shuffle
     carries one row per stratum and task; the counts are stored, and their number sets the level of each claim.
     """
     good = labelled.where("good")
-    rejected = [
-        F.count_if(F.col("stats")[rule] > cutoff).alias(f"{rule}_{i}")
-        for rule, cutoffs in params.grid.items()
-        for i, cutoff in enumerate(cutoffs)
-    ]
+    tried = settings(params.grid)
+    stats = F.col("stats")
+
+    def rejects(setting: dict[str, float]) -> Column:
+        verdict = base_failed(stats)
+        for rule, cutoff in setting.items():
+            verdict = verdict | (stats[rule] > cutoff)
+        return verdict
+
+    rejected = [F.count_if(rejects(s)).alias(f"setting_{n}") for n, s in enumerate(tried)]
     counts = stored(good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejected), "quality-counts")
-    level = params.level / max(1, counts.count() * len(params.grid))
+    level = params.level / max(1, counts.count())
     proven = counts.withColumn("most", allowed_rejections(F.col("n"), params.risk, level))
-    picks = []
-    for rule, cutoffs in params.grid.items():
-        passing = [F.when(F.col(f"{rule}_{i}") <= F.col("most"), F.lit(float(c))) for i, c in enumerate(cutoffs)]
-        picks.append((F.least(*passing) if len(passing) > 1 else passing[0]).alias(rule))
+    passed = F.array_max(F.array(*[F.when(F.col(f"setting_{n}") <= F.col("most"), F.lit(n)) for n in range(len(tried))]))
+    picks = [F.get(F.array(*[F.lit(float(s[rule])) for s in tried]), passed).alias(rule) for rule in params.grid]
     return proven.select("stratum", *picks)
 
 

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from matchloom.llm.quality_rules import CAPITALS, RiskParams
+from matchloom.llm.quality_rules import CAPITALS, RiskParams, settings
 from matchloom.llm.url_filters import LOWER, RULES, UPPER
 
 _PARAMS = RiskParams()
 _RULES = list(_PARAMS.grid)
+_SETTINGS = settings(_PARAMS.grid)
 _REJECTED = ", ".join(
-    f"sum(CASE WHEN {rule} > {cutoff!r} THEN 1 ELSE 0 END) AS {rule}_{i}"
-    for rule, cutoffs in _PARAMS.grid.items()
-    for i, cutoff in enumerate(cutoffs)
+    f"count(*) FILTER (base_failed OR {' OR '.join(f'{rule} > {cutoff!r}' for rule, cutoff in setting.items())}) AS setting_{n}"
+    for n, setting in enumerate(_SETTINGS)
 )
 _CUTOFFS = ", ".join(
-    f"least({', '.join(f'CASE WHEN {rule}_{i} <= most THEN {cutoff!r} END' for i, cutoff in enumerate(cutoffs))}) AS {rule}"
-    for rule, cutoffs in _PARAMS.grid.items()
+    "CASE " + " ".join(f"WHEN setting_{n} <= most THEN {s[rule]!r}" for n, s in reversed(list(enumerate(_SETTINGS)))) + f" END AS {rule}"
+    for rule in _RULES
 )
 _ABOVE = " OR ".join(f"coalesce(s.{rule} > c.{rule}, false)" for rule in _RULES)
 
@@ -54,7 +54,7 @@ chance AS (
     + i * ln({_PARAMS.risk}) + (n - i) * ln(1 - {_PARAMS.risk}))) OVER (PARTITION BY stratum ORDER BY i) AS total
   FROM (SELECT stratum, n, unnest(range(0, floor(n * {_PARAMS.risk})::BIGINT + 1)) AS i FROM counts)),
 allowed AS (
-  SELECT stratum, coalesce(max(CASE WHEN total <= {_PARAMS.level} / ((SELECT count(*) FROM counts) * {len(_RULES)}) THEN i END), -1) AS most
+  SELECT stratum, coalesce(max(CASE WHEN total <= {_PARAMS.level} / (SELECT count(*) FROM counts) THEN i END), -1) AS most
   FROM chance GROUP BY stratum),
 c AS (SELECT counts.stratum, {_CUTOFFS} FROM counts JOIN allowed ON counts.stratum = allowed.stratum)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

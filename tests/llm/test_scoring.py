@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 from math import comb
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -144,6 +145,40 @@ def test_rules_hold_their_risk(spark):
     assert few.where(~F.col(kept)).count() == 0  # too few labels to prove any
 
 
+def test_sql_and_operator_agree_on_proven_cutoffs(spark, tmp_path):
+    rng = random.Random(12)
+    rows, marks = [], []
+    for i in range(2600):
+        lang = ("aa", "bb", None)[i % 3 if i % 3 < 2 else 2 * (i % 2)]
+        words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7))) for _ in range(rng.randint(12, 30))]
+        odd = rng.random()
+        if odd < 0.25:  # bad in many ways, and a few good ones that look like it
+            words = [rng.choice((w.upper(), w + "##", w * 4, w + "!!!")) for w in words]
+        good = int(odd >= 0.25 or rng.random() < 0.006)
+        rows.append((i, " ".join(words), lang, "src", 0))
+        marks.append((i, good, 0))
+    docs_table, labels_table = spark.createDataFrame(rows, docs(spark, []).schema), spark.createDataFrame(marks, LABELS)
+    judged, stats, kept = quality_rules.quality_rules(docs_table, labels_table)
+    judged = judged.cache()
+    narrow = judged.select(F.coalesce("lang", F.lit("")).alias("stratum"), "doc_id", F.col(stats).alias("stats"))
+    known = labels_table.select("doc_id", (F.col("quality") == 1).alias("good"))
+    cutoffs = quality_rules.fit_cutoffs(narrow.join(known, "doc_id")).collect()
+    assert sum(r["symbol_share"] is not None for r in cutoffs) >= 2  # proven, and not for every stratum in the same place
+    for table, name in ((docs_table, "documents"), (labels_table, "labels")):
+        table.coalesce(1).write.parquet(str(tmp_path / name))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path / name}/*.parquet')")
+    want = dict(con.execute(f"SELECT doc_id, kept FROM ({QUALITY_RULES})").fetchall())
+    got = {r["doc_id"]: r[kept] for r in judged.collect()}
+    assert got == want
+    good, bad = ({i for i, q, _ in marks if q == which} for which in (1, 0))
+    assert sum(not got[i] for i in bad) > 0.5 * len(bad)
+    for lang in ("aa", "bb", None):  # the verdict of all rules together keeps the promise for each stratum
+        mine = [i for i, _, l, _, _ in rows if l == lang and i in good]
+        assert sum(not got[i] for i in mine) <= 0.01 * len(mine)
+
+
 # --- personal data ----------------------------------------------------------
 
 
