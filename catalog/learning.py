@@ -81,11 +81,11 @@ def als_scores(spark, sf):
 def als_top_items(spark, sf):
     """Ten ranks for every user; whether a score is the product of the factors and no higher than the one before."""
     model = models.fit_als(pairs(spark, sf))
-    top = models.als_top_items(model, 10)
+    top = cut_lineage(models.als_top_items(model, 10))
     factors = models.factor_vectors(model, top, multiply=False)
     product = dot_product(F.col("userVec"), F.col("itemVec"))
     before = F.lag("score").over(Window.partitionBy("userId").orderBy("rank"))
-    agrees = (F.abs(F.col("score") - product) < 1e-4) & (F.col("score") <= F.coalesce(before, F.col("score")))
+    agrees = (F.abs(F.col("score") - product) < 1e-6) & (F.col("score") <= F.coalesce(before, F.col("score")))
     return factors.select(F.col("userId").cast("bigint").alias("userId"), F.col("rank").cast("int").alias("rank"), agrees.alias("valid"))
 
 

@@ -13,19 +13,16 @@ from matchloom.operators.support import cut_lineage, hash_fraction, lookup_join
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within the partition below
 
 
-def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
-    """``column -> out``: 0.0 for the most frequent value, ties in alphabetical order.
+POSITION = "_position"
+
+
+def with_position(df: DataFrame, *order: Column | str) -> DataFrame:
+    """The rows in order, stored, with their place from 0 on in ``_position``.
 
-    Counts combine before the shuffle, the distinct values are sorted by range over all
-    tasks, and each partition starts where the partitions before it end. Only one number per
-    partition is ever gathered, no label list.
+    Rows are sorted by range over all tasks, and each partition starts where the partitions before it end. Only
+    one number per partition is ever gathered. Sort narrow rows and attach the rest by key afterwards.
     """
-    counts = df.groupBy(F.col(column)).count().where(F.col(column).isNotNull())
-    ordered = cut_lineage(
-        counts.orderBy(F.desc("count"), F.col(column).cast("string")).select(
-            column, F.monotonically_increasing_id().alias("_pos")
-        )
-    )
+    ordered = cut_lineage(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
     part = F.shiftright("_pos", ROW_BITS)
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -35,7 +32,17 @@ def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
     )
     row = F.col("_pos").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     numbered = ordered.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return numbered.select(column, (F.col("_start") + row).cast("double").alias(out))
+    return numbered.select(*df.columns, (F.col("_start") + row).alias(POSITION))
+
+
+def string_index(df: DataFrame, column: str, out: str) -> DataFrame:
+    """``column -> out``: 0.0 for the most frequent value, ties in alphabetical order.
+
+    Counts combine before the shuffle; no label list is gathered.
+    """
+    counts = df.groupBy(F.col(column)).count().where(F.col(column).isNotNull())
+    numbered = with_position(counts, F.desc("count"), F.col(column).cast("string"))
+    return numbered.select(column, F.col(POSITION).cast("double").alias(out))
 
 
 def index_pairs(

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions import vectors
+from matchloom.operators.inner_products import best_products
 from matchloom.operators.support import lookup_join, use_checkpoint_dir
 from matchloom.params import AlsParams, ClassifierParams, KMeansParams
 from matchloom.sources.models import fit_or_load
@@ -49,15 +50,15 @@ def als_scores(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def als_top_items(model: ALSModel, k: int) -> DataFrame:
-    """The k best items of every user by factors."""
-    recs = model.recommendForAllUsers(k)
-    user = recs.columns[0]
-    return recs.select(F.col(user).alias("userId"), F.posexplode("recommendations").alias("rank", "rec")).select(
-        "userId",
-        F.col("rec")[model.getItemCol()].alias("itemId"),
-        F.col("rec.rating").cast("double").alias("score"),
-        (F.col("rank") + 1).alias("rank"),
-    )
+    """The k best items of every user by factors, ties by the smaller item; blocks of items that cannot matter are not scored."""
+    return als_top_items_and_work(model, k)[0]
+
+
+def als_top_items_and_work(model: ALSModel, k: int) -> tuple[DataFrame, DataFrame]:
+    """As :func:`als_top_items`, and one row with the blocks of items that users met and those that were ruled out."""
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("userVec"))
+    items = model.itemFactors.select(F.col("id").alias("itemId"), F.col("features").alias("itemVec"))
+    return best_products(users, items, k)
 
 
 # --- clusters ----------------------------------------------------------------------------

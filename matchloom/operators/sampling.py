@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions import vectors
-from matchloom.operators.support import hash_number, lookup_join
+from matchloom.operators.indexing import POSITION, with_position
+from matchloom.operators.support import BROADCAST_BYTES, hash_number, lookup_join, measured_bytes
 
 PAIR = ["userId", "itemId"]
 
@@ -60,9 +61,9 @@ def append_negatives(indexed: DataFrame, seed: int = 42) -> DataFrame:
     return positives.unionByName(negatives_free(indexed, 1, seed))
 
 
-def attach_vectors(pairs: DataFrame, user_dict: DataFrame, item_dict: DataFrame) -> DataFrame:
+def attach_vectors(pairs: DataFrame, user_dict: DataFrame, item_dict: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add both vectors. Pairs of a hot id are spread when the dictionary is not small."""
-    return lookup_join(lookup_join(pairs, user_dict, "userId"), item_dict, "itemId")
+    return lookup_join(lookup_join(pairs, user_dict, "userId", limit=limit), item_dict, "itemId", limit=limit)
 
 
 def scored_with_negatives(
@@ -82,8 +83,22 @@ def scored_with_negatives(
 
 
 def negative_join(
-    indexed: DataFrame, item_dict: DataFrame, user_dict: DataFrame, k: int = 50, seed: int = 0
+    indexed: DataFrame,
+    item_dict: DataFrame,
+    user_dict: DataFrame,
+    k: int = 50,
+    seed: int = 0,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Interactions and negatives with vectors and |cosine|, greatest first."""
-    scored = scored_with_negatives(indexed, item_dict, user_dict, k, seed)
-    return scored.orderBy(F.desc_nulls_last("cosineSimilarity"))
+    """Interactions and negatives with vectors and |cosine|, greatest first, ties by user and item.
+
+    Ids and scores are sorted without vectors. Vectors join the sorted rows where they lie while the dictionaries
+    are small; beyond the limit rows find their range again by their place.
+    """
+    scored = scored_with_negatives(indexed, item_dict, user_dict, k, seed).select(*PAIR, "label", "cosineSimilarity")
+    order = [F.desc_nulls_last("cosineSimilarity"), *PAIR, "label"]
+    placed = with_position(scored, *order)
+    wide = attach_vectors(placed, user_dict, item_dict, limit)
+    if max(measured_bytes(user_dict), measured_bytes(item_dict)) > limit:
+        wide = wide.repartitionByRange(POSITION).sortWithinPartitions(POSITION)
+    return wide.select(*PAIR, "label", "userVec", "itemVec", "cosineSimilarity")
