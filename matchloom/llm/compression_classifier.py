@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import share, shared_value, text_slices
@@ -21,14 +21,15 @@ from matchloom.llm.common import share, shared_value, text_slices
 
 @dataclass(frozen=True)
 class CompressionParams:
-    """``documents``: most labelled documents of each class that are collected for the fit, of which every other
-    one goes into the dictionary; ``document_bytes``: most bytes of each, as pieces spread over its text.
-    ``piece``: bytes compressed at a time, so that a long text cannot explain itself. ``cutoff``: least
+    """``documents``: most labelled documents of each class that are collected for the fit, whole, of which every
+    other one goes into the dictionary. A document beyond ``document_bytes`` is not sampled, and neither are those
+    that follow once a class has ``class_bytes``. ``piece``: bytes compressed at a time, so that a long text cannot explain itself. ``cutoff``: least
     score of a document predicted to be good.
     """
 
     documents: int = 2000
-    document_bytes: int = 16 << 10
+    document_bytes: int = 256 << 10
+    class_bytes: int = 32 << 20
     dictionary_bytes: int = 96 << 10
     piece: int = 512
     level: int = 3
@@ -56,7 +57,7 @@ class CompressionModel:
         self.params, self.compressors = params, None
         counts = counts or (len(good), len(bad))
         self.slope, self.base = 0.0, float(np.log((counts[0] + 1) / (counts[1] + 1)))
-        cut = [[self._spread(t.encode()) for t in texts] for texts in (good, bad)]
+        cut = [[pieces(t.encode(), params.piece) for t in texts] for texts in (good, bad)]
         self.dictionaries = [self._dictionary([p for text in texts[::2] for p in text]) for texts in cut]
         held = [[self.difference_of(b"".join(x)) for x in texts[1::2]] for texts in cut]
         if all(held) and all(self.dictionaries):
@@ -65,14 +66,6 @@ class CompressionModel:
             self._fit(np.array(held[0] + held[1]), y, np.array(weights[0] + weights[1]))
         self.compressors = None
 
-    def _spread(self, data: bytes) -> list[bytes]:
-        """Pieces of a training text, evenly chosen where it is too long."""
-        parts = pieces(data, self.params.piece)
-        most = max(1, self.params.document_bytes // self.params.piece)
-        if len(parts) <= most:
-            return parts
-        return [parts[i * len(parts) // most] for i in range(most)]
-
     def _dictionary(self, samples: list[bytes]) -> bytes:
         try:
             return zstandard.train_dictionary(self.params.dictionary_bytes, samples).as_bytes()
@@ -123,8 +116,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
     """Fit on labelled rows that are not held out.
 
     The documents of each class with the smallest digests of their ids are taken, so the choice does
-    not depend on the order of rows; ids are chosen first, and only the chosen texts are collected, cut to
-    ``document_bytes`` around evenly spread places before they leave the executors. Null labels say
+    not depend on the order of rows; ids are chosen first, and only the chosen texts are collected, each of them
+    whole, as long as they are within the bounds of the parameters. Null labels say
     nothing; a document labelled more than once counts as good if any label says so, and of rows that share a
     ``doc_id`` the text with the smallest digest stands for all. All labelled documents of
     each class are counted, and the samples weigh as much as their class.
@@ -137,15 +130,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: CompressionParams =
     chosen = [known.where(F.col("quality") == k).orderBy(*order).limit(params.documents) for k in (1, 0)]
     ids = chosen[0].union(chosen[1])
     text = F.coalesce(F.col("text"), F.lit(""))
-    step = F.greatest(F.lit(1.0), F.length(text) / F.lit(params.document_bytes))
-    size = params.piece
-    count = F.least(F.ceil(F.length(text) / size), F.lit(params.document_bytes // size)).cast("int")
-    starts = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, (F.floor(i * size * step) + 1).cast("int"), F.lit(size))
-    )
-    short = F.when(F.length(text) <= params.document_bytes, text).otherwise(F.array_join(starts, ""))
-    texts = docs.select("doc_id", short.alias("text"), F.xxhash64("text").alias("digest")).join(F.broadcast(ids), "doc_id")
+    texts = docs.select("doc_id", text.alias("text"), F.xxhash64("text").alias("digest")).join(F.broadcast(ids), "doc_id")
     texts = texts.groupBy("doc_id", "quality").agg(F.min_by("text", F.struct("digest", "text")).alias("text"))
+    size = F.octet_length("text").cast("bigint")
+    before = F.sum(size).over(Window.partitionBy("quality").orderBy(*order))  # of the documents chosen only
+    texts = texts.where(size <= params.document_bytes).withColumn("total", before).where(F.col("total") <= params.class_bytes)
     rows = sorted(texts.collect(), key=lambda r: r["doc_id"])
     good, bad = ([r["text"] for r in rows if r["quality"] == k] for k in (1, 0))
     return CompressionModel(good, bad, params, (total.get(1, 0), total.get(0, 0)))
