@@ -155,8 +155,8 @@ def _shared(docs: DataFrame, ranks: str):
     return share(docs.sparkSession, ByteBpe(load_ranks(ranks)))
 
 
-def encode(docs: DataFrame, ranks: str = RANKS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns with ``ids`` (array of int) of every text.
+def encode(docs: DataFrame, ranks: str = RANKS, keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+    """The ``keep`` columns with ``ids`` (array of int) of every text, and with ``decoded`` what the ids decode to (binary).
 
     A null or empty text has no ids. Special tokens do not exist: their strings are ordinary text.
     Ranks have to hold all 256 single bytes, so every text can be encoded. No row is shuffled; texts are
@@ -170,11 +170,15 @@ def encode(docs: DataFrame, ranks: str = RANKS, keep: tuple[str, ...] = ("doc_id
             found = shared_value(codec).encode(texts)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found), pa.int32()))
-            columns = [part.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, ids], [*keep, "ids"])
+            columns = [*[part.column(c) for c in keep], ids]
+            if decoded:  # in the same worker, which has the codec
+                texts = [shared_value(codec).decode(x.astype(np.int64)) for x in found]
+                columns.append(pa.array(texts, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = [*keep, "ids", *(["decoded"] if decoded else [])]
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return kept.mapInArrow(run, ", ".join([*fields, "ids array<int>"]))
+    return kept.mapInArrow(run, ", ".join([*fields, "ids array<int>", *(["decoded binary"] if decoded else [])]))
 
 
 def decode(encoded: DataFrame, ranks: str = RANKS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

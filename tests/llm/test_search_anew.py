@@ -1,0 +1,83 @@
+"""Benchmark search against a version written anew from the formulae: nothing of the index is used."""
+
+import math
+import random
+import re
+
+import pytest
+
+from matchloom.llm import decontaminate
+from tests.llm.brute import docs
+
+
+def plain_words(text):
+    found = (re.sub(r"\W", "", x) for x in text.lower().split())
+    return [w for w in found if w]
+
+
+def plain_sides(text):
+    sentences = [w for w in map(plain_words, re.split(r"\n|(?<=[.?!:])\s+", text)) if w]
+    if len(sentences) == 1:
+        return plain_words(text), []
+    return sum(sentences[:-1], []), sentences[-1]
+
+
+def plain_hits(items, text, p):
+    """{item: (score, question overlap, answer overlap, passages)} of one text."""
+    pieces = []
+    for item, content in items:
+        words = plain_words(content)
+        n = math.ceil(len(words) / p.segment)
+        pieces += [(item, words[len(words) * i // n : len(words) * (i + 1) // n]) for i in range(n)]
+    mean = sum(len(w) for _, w in pieces) / len(pieces)
+    holding = {t: sum(t in w for _, w in pieces) for _, words in pieces for t in words}
+    words = plain_words(text)
+    passages = {s: words[s * p.segment : (s + 2) * p.segment] for s in range(math.ceil(len(words) / p.segment))}
+    best = {}
+    for item, piece in pieces:
+        weight = {}
+        for t in set(piece):
+            tf = piece.count(t)
+            idf = math.log(1 + (len(pieces) - holding[t] + 0.5) / (holding[t] + 0.5))
+            weight[t] = idf * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(piece) / mean))
+        for s, passage in passages.items():
+            score = sum(weight[t] for t in weight if t in passage) / sum(weight.values())
+            if score >= p.threshold - 1e-9:
+                at = best.setdefault(item, {})
+                at[s] = max(at.get(s, 0), score)
+    hits = {}
+    for item, at in best.items():
+        shares = []
+        for side in plain_sides(dict(items)[item]):
+            n = min(p.gram, len(side))
+            grams = {" ".join(side[i : i + n]) for i in range(len(side) - n + 1)} if n else set()
+            there = {" ".join(passages[s][i : i + n]) for s in at for i in range(len(passages[s]) - n + 1)} if n else set()
+            shares.append(len(grams & there) / len(grams) if grams else 1.0)
+        if min(shares) >= p.overlap - 1e-9:
+            hits[item] = (max(at.values()), *shares, len(at))
+    return hits
+
+
+@pytest.mark.parametrize("threshold, overlap", [(0.3, 0.0), (0.7, 0.6)])
+def test_hits_scores_and_overlaps(spark, threshold, overlap):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(80)]
+    items = []
+    for i in range(30):
+        question = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(4, 50)))
+        items.append((i, f"{question}? {' '.join(rng.choice(vocabulary) for _ in range(rng.randint(1, 12)))}."))
+    items += [(40, "one sentence only without an end"), (41, items[3][1])]
+    texts = {}
+    for i in range(40):
+        around = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 90))) for _ in range(2)]
+        words = items[i % 30][1].upper().split()
+        if i % 3 == 1:  # a few words are changed
+            words = [w if rng.random() < 0.93 else "changed" for w in words]
+        texts[i] = f"{around[0]} -- {' '.join(words) if i % 4 else ''} ... {around[1]}"
+    params = decontaminate.BenchmarkParams(segment=20, threshold=threshold, overlap=overlap)
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontaminate.contaminated(docs(spark, texts.items()), table, params).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["score"], r["question_overlap"], r["answer_overlap"], r["passages"]) for r in rows}
+    want = {(d, item): hit for d, text in texts.items() for item, hit in plain_hits(items, text, params).items()}
+    assert got.keys() == want.keys() and len(got) > 20
+    assert [(k, got[k], want[k]) for k in want if got[k] != pytest.approx(want[k])] == []
