@@ -10,12 +10,12 @@ from matchloom.llm.common import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go. Null and short texts fail the base rule; repeated rows are judged each."""
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line passages leave their texts."""
+    """Later occurrences of repeated three-line passages leave their texts. Rows equal in id and text get the same text."""
     return line_dedup.remove_repeated_lines(docs)
 
 
@@ -28,17 +28,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Items without words are in no document; without items all stay."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the texts, with the digest of what they decode to."""
-    encoded = byte_bpe.encode(docs, keep=("doc_id", "lang", "source"))
-    decoded = byte_bpe.decode(encoded, keep=("doc_id", "lang", "source"))
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """Token ids of the texts, with the digest of what they decode to.
+
+    Of the other columns ``doc_id``, ``lang`` and ``source`` come along where they exist; a null text has no ids.
+    """
+    keep = tuple(c for c in ("doc_id", "lang", "source") if c in docs.columns)
+    decoded = byte_bpe.encode(docs, keep=keep, decoded=True)
+    return decoded.select(*keep, F.size("ids").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -54,7 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each result is written to the shared folder and read back as the next one's input."""
+    """All stages on ``documents``; each result is written to the shared folder and read back as the next one's input.
+
+    An empty table gives no rows. Columns beside those of ``documents`` pass through all stages but the last. Rows that
+    share a ``doc_id`` count as one document from the near-duplicate stage on.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), "stage")
