@@ -15,8 +15,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line passages leave their texts. Rows equal in id and text get the same text."""
-    return line_dedup.remove_repeated_lines(docs)
+    """Later occurrences of repeated passages of three lines, or three sentences within long lines, leave their texts.
+
+    Rows equal in id and text get the same text; a null text stays null.
+    """
+    return line_dedup.remove_repeated_passages(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,6 +83,41 @@ def deduped(texts):
     return result
 
 
+def deduped_passages(texts, long_words=16, least_words=12):
+    """Texts without later occurrences of windows of three lines, or of three units in lines of many words."""
+    blanks = " \t\x0b\f\r"
+    units, windows, seen, result = {}, {}, set(), {}
+    for i in sorted(texts):
+        flat, starts = [], []
+        for n, line in enumerate(texts[i].split("\n")):
+            parts = re.split(rf"(?<=[.!?])(?=[{blanks}]+[^{blanks}])", line) if len(re.split(rf"[{blanks}]+", line.strip(blanks))) > long_words else [line]
+            starts.append((len(flat), len(flat) + len(parts), line.strip(blanks)))
+            flat += [(n, x, len(parts) > 1) for x in parts]
+        full = [u for u, (_, x, _) in enumerate(flat) if x.strip(blanks)]
+        found = []
+        lines = [s for s in starts if s[2]]
+        for some in zip(lines, lines[1:], lines[2:]):
+            found.append((some[0][0], tuple(s[2] for s in some), range(some[0][0], some[-1][1])))
+        for at in zip(full, full[1:], full[2:]):
+            key = tuple(flat[u][1].strip(blanks) for u in at)
+            if any(flat[u][2] for u in at) and sum(len(re.split(rf"[{blanks}]+", x)) for x in key) >= least_words:
+                found.append((at[0], key, range(at[0], at[-1] + 1)))
+        units[i], windows[i] = flat, sorted(found, key=lambda w: w[0])
+    for i in sorted(texts):
+        gone = set()
+        for _, key, covered in windows[i]:
+            if key in seen:
+                gone.update(u for u in covered if units[i][u][1].strip(blanks))
+            seen.add(key)
+        text, last = "", None
+        for u, (n, x, _) in enumerate(units[i]):
+            if u not in gone:
+                text += ("\n" if last is not None and n != last else "") + x
+                last = n
+        result[i] = text if gone else texts[i]
+    return result
+
+
 def naive_spans(text):
     """Base spans by the patterns as given."""
     from matchloom.llm.pii import luhn

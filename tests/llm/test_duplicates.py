@@ -4,7 +4,7 @@ import random
 
 from matchloom.llm import line_dedup, simhash
 from matchloom.llm.components import connected_components
-from tests.llm.brute import components, deduped, docs, fingerprint, roots
+from tests.llm.brute import components, deduped, deduped_passages, docs, fingerprint, roots
 
 
 def test_components(spark):
@@ -86,3 +86,31 @@ def test_line_dedup_of_odd_rows(spark):
     assert sorted(t for i, t in got if i == 2) in (["", "", "w\nx\ny\nz"], ["", "w", "x\ny\nz"])
     assert line_dedup.remove_repeated_lines(docs(spark, [])).count() == 0
     assert "Python" not in line_dedup.remove_repeated_lines(docs(spark, rows))._jdf.queryExecution().toString()
+
+
+def test_passages_in_long_lines(spark):
+    rng = random.Random(8)
+    said = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(rng.randint(1, 9))) + rng.choice(".!?,") for _ in range(25)]
+    joints = [" ", " ", "  ", "\t", "\n", "\n\n", " \n"]
+    texts = {i: "".join(rng.choice(said) + rng.choice(joints) for _ in range(rng.randint(0, 30))) for i in range(150)}
+    texts |= {200: "", 201: "x", 202: "a. b. c.", 203: "a. b. c.", 204: "q\nq\nq\nq", 205: "One more word " * 9}
+    shared = "The mill by the river was built of stone. It stood for many hundred years! Who knows what it saw?"
+    texts |= {300: f"Own words at the start here. {shared} And an end of its own.", 301: f"{shared}", 302: f"first\nOther words: {shared}\nlast one. {shared}"}
+    table = docs(spark, texts.items(), extra=("doc", "left", "units", "covered"))
+    result = line_dedup.remove_repeated_passages(table)
+    got = {r["doc_id"]: r for r in result.collect()}
+    want = deduped_passages(texts)
+    assert result.columns == table.columns and {i: r["text"] for i, r in got.items()} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+    assert want[300] == texts[300] and want[301] == "" and want[302] == texts[302].replace(f"\nlast one. {shared}", "\nlast one.")
+    assert sum(len(t) for t in want.values()) < sum(len(t) for t in deduped(texts).values())
+    assert want[202] == texts[202] and want[203] == texts[203] and want[205] == texts[205]
+
+
+def test_passages_of_odd_rows(spark):
+    long = "The mill by the river was built of stone. It stood for many hundred years! Who knows what it saw?"
+    rows = [(1, long), (1, long), (None, long), (2, None), (3, ""), (4, "\n \n")]
+    got = [(r["doc_id"], r["text"]) for r in line_dedup.remove_repeated_passages(docs(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(None, long), (1, ""), (1, ""), (2, None), (3, ""), (4, "\n \n")], key=str)
+    assert line_dedup.remove_repeated_passages(docs(spark, [])).count() == 0
+    assert "Python" not in line_dedup.remove_repeated_passages(docs(spark, rows))._jdf.queryExecution().toString()

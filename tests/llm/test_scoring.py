@@ -20,7 +20,7 @@ from matchloom.llm import compression_classifier, decontaminate, pii, quality_ru
 from matchloom.llm.queries import QUERIES
 from matchloom.llm.sql import QUALITY_RULES
 from tests.compare import duck
-from tests.llm.brute import LABELS, components, deduped, docs, naive_spans, tiktoken_encoding
+from tests.llm.brute import LABELS, components, deduped_passages, docs, naive_spans, tiktoken_encoding
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 BIG = "/root/testdata/sf0.01"
@@ -299,7 +299,7 @@ def test_pipeline(spark):
     con = duck(SF)
     kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({QUALITY_RULES}) WHERE kept").fetchall()}
     texts = {i: t for i, t in con.execute("SELECT doc_id, text FROM documents").fetchall() if i in kept}
-    texts = deduped(texts)
+    texts = deduped_passages(texts)
     group = components(texts)
     texts = {i: t for i, t in texts.items() if group[i] == i}
     index = decontaminate.Index(con.execute("SELECT item_id, text FROM benchmark ORDER BY 1").fetchall(), decontaminate.BenchmarkParams())
