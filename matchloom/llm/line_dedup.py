@@ -100,15 +100,18 @@ def remove_repeated_lines(docs: DataFrame, removed: str | None = None) -> DataFr
 def _units(text: Column, long_words: int) -> Column:
     """Array of ``line`` (its number), ``part`` (within the line), ``cut`` (the line has more parts), ``x``."""
 
-    def parts(line: Column, i: Column) -> Column:
+    def cut(line: Column, i: Column) -> Column:
         words = F.size(F.split(F.trim(line, F.lit(BLANKS)), f"[{BLANKS}]+"))
         sentences = F.when(words > long_words, F.split(line, SENTENCE)).otherwise(F.array(line))
+        return F.struct(i.alias("line"), sentences.alias("sentences"))
+
+    def parts(s: Column) -> Column:
         return F.transform(
-            sentences,
-            lambda x, j: F.struct(i.alias("line"), j.alias("part"), (F.size(sentences) > 1).alias("cut"), x.alias("x")),
+            s["sentences"],
+            lambda x, j: F.struct(s["line"].alias("line"), j.alias("part"), (F.size(s["sentences"]) > 1).alias("cut"), x.alias("x")),
         )
 
-    return F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), parts))
+    return F.flatten(F.transform(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), cut), parts))
 
 
 def _passage_windows(docs: DataFrame, long_words: int, least_words: int) -> DataFrame:
