@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TILE_ROWS = 2048  # users and items in one matrix product: 32 MB of scores
-BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_BYTES = 128 * 1024 * 1024  # vectors of either side in one group
+# A worker holds the vectors of two blocks, their unit vectors, a few tiles and the results of a block of users.
+TILE_ROWS = 1024  # users and items in one matrix product: 8 MB of scores
+BROADCAST_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024  # vectors of either side in one group
+RESULT_BYTES = 64 * 1024 * 1024  # best items of the users of a group
 MOST_PARTITIONS = 20_000  # a task takes its groups one after another, so memory does not grow beyond this
 
 
@@ -48,19 +50,22 @@ def _rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.select("id", F.when(extreme, scaled).otherwise(F.col("vec")).alias("vec"))
 
 
-def _best(k: int, digits: int, width: int, tile_rows: int) -> Callable:
-    """Task function: for each user the best k of the items, ties included, as two positions and the score."""
+def _best(k: int, digits: int, width: int, tile_rows: int) -> tuple[Callable, Callable]:
+    """Unit vectors; and for each user's the best k of the items', ties included, as two positions and the score."""
 
     def unit(flat):
         import numpy as np
 
         rows = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
-        return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+        out = np.empty_like(rows)
+        for at in range(0, len(rows), tile_rows):
+            some = rows[at : at + tile_rows]
+            out[at : at + tile_rows] = some / np.sqrt((some * some).sum(axis=1, keepdims=True))
+        return out
 
-    def best(user_flat, item_flat):
+    def best(users, items):
         import numpy as np
 
-        users, items = unit(user_flat), unit(item_flat)
         found = []
         for start in range(0, len(users), tile_rows):
             some = users[start : start + tile_rows]
@@ -93,32 +98,32 @@ def _best(k: int, digits: int, width: int, tile_rows: int) -> Callable:
         over = scores >= top.min(axis=1)[user_at]
         return user_at[over], item_at[over], scores[over]
 
-    return best
+    return unit, best
 
 
-def _against_all(best: Callable, held) -> Callable:
+def _against_all(unit: Callable, best: Callable, held) -> Callable:
     """Task function: users against the broadcast items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
 
         ids, flat = held.value
+        items = unit(flat)
         for batch in batches:
-            user_at, item_at, scores = best(batch.column("vec").flatten(), flat)
+            user_at, item_at, scores = best(unit(batch.column("vec").flatten()), items)
             columns = [batch.column("id").take(pa.array(user_at)), ids.take(pa.array(item_at)), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, names=["userId", "itemId", "score"])
 
     return run
 
 
-def _block_against_block(best: Callable) -> Callable:
+def _block_against_block(unit: Callable, best: Callable) -> Callable:
     """Task function: one block of users against one block of items."""
 
     def run(users: pa.Table, items: pa.Table) -> pa.Table:
         import pyarrow as pa
 
-        user_flat, item_flat = (side.column("vec").combine_chunks().flatten() for side in (users, items))
-        user_at, item_at, scores = best(user_flat, item_flat)
+        user_at, item_at, scores = best(*(unit(side.column("vec").combine_chunks().flatten()) for side in (users, items)))
         columns = [users.column("id").take(pa.array(user_at)), items.column("id").take(pa.array(item_at)), pa.array(scores)]
         return pa.table(columns, names=["userId", "itemId", "score"])
 
@@ -151,7 +156,7 @@ def best_candidates(
         raise ValueError("vectors differ in size")
     users, items = _rows(user_dict, "userId", "userVec"), _rows(item_dict, "itemId", "itemVec")
     width = max(1, item_width)
-    best = _best(k, digits, width, tile_rows)
+    unit, best = _best(k, digits, width, tile_rows)
     schema = T.StructType(
         [
             T.StructField("userId", users.schema["id"].dataType),
@@ -166,12 +171,13 @@ def best_candidates(
         ids, flat = (held.column(c).combine_chunks() for c in ("id", "vec"))
         if n_users * width * 8 <= BROADCAST_BYTES:  # so few bytes may come from fewer splits than there are tasks
             users = users.repartition(tasks)
-        return users.mapInArrow(_against_all(best, context.broadcast((ids, flat.flatten()))), schema)
+        return users.mapInArrow(_against_all(unit, best, context.broadcast((ids, flat.flatten()))), schema)
     rows = max(1, block_bytes // (8 * width))
     item_blocks = math.ceil(n_items / rows)
-    user_blocks = max(1, math.ceil(n_users / rows), min(math.ceil(tasks / item_blocks), math.ceil(n_users / 128)))
+    user_rows = max(1, min(rows, RESULT_BYTES // (24 * max(1, k))))
+    user_blocks = max(1, math.ceil(n_users / user_rows), min(math.ceil(tasks / item_blocks), math.ceil(n_users / 128)))
     partitions = min(user_blocks * item_blocks, MOST_PARTITIONS)
     keys = ("userBlock", "itemBlock")
     asked = _blocks(users, keys[0], user_blocks, keys[1], item_blocks, partitions)
     offered = _blocks(items, keys[1], item_blocks, keys[0], user_blocks, partitions)
-    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(_block_against_block(best), schema)
+    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(_block_against_block(unit, best), schema)
