@@ -101,8 +101,9 @@ def _best(k: int, digits: int, width: int, tile_rows: int) -> tuple[Callable, Ca
     return unit, best
 
 
-def _against_all(unit: Callable, best: Callable, held) -> Callable:
+def _against_all(functions: tuple[Callable, Callable], held) -> Callable:
     """Task function: users against the broadcast items."""
+    unit, best = functions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
@@ -117,8 +118,9 @@ def _against_all(unit: Callable, best: Callable, held) -> Callable:
     return run
 
 
-def _block_against_block(unit: Callable, best: Callable) -> Callable:
+def _block_against_block(functions: tuple[Callable, Callable]) -> Callable:
     """Task function: one block of users against one block of items."""
+    unit, best = functions
 
     def run(users: pa.Table, items: pa.Table) -> pa.Table:
         import pyarrow as pa
@@ -156,7 +158,7 @@ def best_candidates(
         raise ValueError("vectors differ in size")
     users, items = _rows(user_dict, "userId", "userVec"), _rows(item_dict, "itemId", "itemVec")
     width = max(1, item_width)
-    unit, best = _best(k, digits, width, tile_rows)
+    functions = _best(k, digits, width, tile_rows)
     schema = T.StructType(
         [
             T.StructField("userId", users.schema["id"].dataType),
@@ -171,7 +173,7 @@ def best_candidates(
         ids, flat = (held.column(c).combine_chunks() for c in ("id", "vec"))
         if n_users * width * 8 <= BROADCAST_BYTES:  # so few bytes may come from fewer splits than there are tasks
             users = users.repartition(tasks)
-        return users.mapInArrow(_against_all(unit, best, context.broadcast((ids, flat.flatten()))), schema)
+        return users.mapInArrow(_against_all(functions, context.broadcast((ids, flat.flatten()))), schema)
     rows = max(1, block_bytes // (8 * width))
     item_blocks = math.ceil(n_items / rows)
     user_rows = max(1, min(rows, RESULT_BYTES // (24 * max(1, k))))
@@ -180,4 +182,4 @@ def best_candidates(
     keys = ("userBlock", "itemBlock")
     asked = _blocks(users, keys[0], user_blocks, keys[1], item_blocks, partitions)
     offered = _blocks(items, keys[1], item_blocks, keys[0], user_blocks, partitions)
-    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(_block_against_block(unit, best), schema)
+    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInArrow(_block_against_block(functions), schema)
