@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions import labels, text
+from matchloom.operators.interactions import digest_pairs
 
 
 def distinct_counts(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
@@ -75,18 +76,21 @@ def profile_users(raw: DataFrame) -> DataFrame:
 
 
 def profile_applications(raw: DataFrame) -> DataFrame:
-    """Rows, distinct ids and complete rows of the applications with a user id."""
+    """Rows, distinct ids and complete rows of the applications with a user id.
+
+    Only the rows with content need documents, and they are counted by digests of one document at a time.
+    """
     rows = raw.select(
         "resume_url",
         "jobs_job_id",
         text.id_from_url(F.col("resume_url")).alias("resume_id"),
         labels.application_status(F.col("new_application")).alias("label"),
-        text.doc_key(F.col("resume.resume.normalizedBody")).alias("body"),
-        text.doc_key(F.col("jobs_description")).alias("description"),
+        F.col("resume.resume.normalizedBody").alias("body"),
+        F.col("jobs_description").alias("description"),
     )
     known = F.col("resume_id").isNotNull()
     complete = known & F.col("jobs_job_id").isNotNull() & F.col("label").isNotNull()
-    content = ["resume_id", "jobs_job_id", "label", "body", "description"]
+    content = digest_pairs(rows, ["resume_id", "jobs_job_id", "label"], "body", "description")
     # structs count as values even when an item id in them is NULL
     item_id, id_pair = F.struct("jobs_job_id"), F.struct("resume_id", "jobs_job_id")
     counts = rows.agg(
@@ -97,9 +101,9 @@ def profile_applications(raw: DataFrame) -> DataFrame:
         F.count_distinct(F.col("resume_id")).alias("user_ids"),
         F.count_distinct(F.when(known, id_pair)).alias("pairs"),
         F.count_if(complete).alias("complete"),
-        F.count_distinct(*[F.col(c) for c in content]).alias("complete_with_content"),
     )
-    return _tidy(counts, "application")
+    whole = content.agg(F.count(F.lit(1)).alias("complete_with_content"))
+    return _tidy(counts.crossJoin(F.broadcast(whole)), "application")
 
 
 def items_per_user(raw: DataFrame) -> DataFrame:
