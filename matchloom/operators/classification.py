@@ -6,12 +6,17 @@ the shuffle. The evaluators then work on the counts as weights.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
     RegressionEvaluator,
 )
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchloom.functions.labels import to_decimal, to_zero_one
@@ -74,7 +79,52 @@ def _has_both(counts: DataFrame) -> bool:
     return bool(row["p"] and row["n"])
 
 
+def _range_areas() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task function of a range of scores; made here, so that workers need not find this module."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For a range of scores, greatest first: its greatest score, its positives and negatives, and the area over its own negatives."""
+        top, positives, negatives, area = None, 0.0, 0.0, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            up, along = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("up", "along"))
+            top = batch.column("prediction")[0].as_py() if top is None else top
+            after = positives + np.cumsum(up)
+            area += float(np.dot(along, after - up / 2))
+            positives, negatives = float(after[-1]), negatives + float(along.sum())
+        if top is not None:
+            yield pa.RecordBatch.from_pydict({"top": [top], "up": [positives], "along": [negatives], "area": [area]})
+
+    return add_up
+
+
+def _roc_area(df: DataFrame, n: Column) -> float:
+    """Exact area under the ROC curve of rows that count ``n`` each, straight between neighbouring scores.
+
+    Rows of a score are added up first. Scores are sorted by range, each range gives its own area, and the positives
+    of the ranges above are added below its negatives; one row for each range is all that one task takes.
+    """
+    missing = F.col("label").isNull() | F.col("prediction").isNull()
+    checked = F.when(missing, F.raise_error(F.lit("a row has no label or no prediction")).cast("double")).otherwise(n)
+    positive = F.col("label") > 0.5
+    sides = {"up": F.when(positive, checked).otherwise(0.0), "along": F.when(positive, 0.0).otherwise(checked)}
+    scores = df.groupBy(F.col("prediction").cast("double").alias("prediction")).agg(*[F.sum(c).alias(side) for side, c in sides.items()])
+    scores = scores.repartitionByRange(F.desc("prediction"))
+    ranges = scores.sortWithinPartitions(F.desc("prediction")).mapInArrow(_range_areas(), "top double, up double, along double, area double")
+    above = F.coalesce(F.sum("up").over(W.orderBy(F.desc("top")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    whole = ranges.withColumn("area", F.col("area") + F.col("along") * above)
+    up, along, area = whole.agg(F.sum("up"), F.sum("along"), F.sum("area")).first()
+    if up is None:
+        return 0.5  # of no rows, the diagonal
+    if not up or not along:
+        return 1.0 if up else 0.0
+    return area / (up * along)
+
+
 def _binary(counts: DataFrame, metric: str) -> float:
+    if metric == AREAS["auroc"]:
+        return _roc_area(counts, F.col("n"))
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol="prediction", labelCol="label", weightCol="n", metricName=metric, numBins=0
     )
@@ -90,7 +140,7 @@ def _multiclass(counts: DataFrame, metric: str) -> float:
 
 def area_under_roc(df: DataFrame) -> float:
     """Exact area under the ROC curve of ``prediction``, ties counting half."""
-    return _binary(outcome_counts(df), "areaUnderROC")
+    return _roc_area(df.select(F.col("label").cast("double"), "prediction"), F.lit(1.0))
 
 
 def area_under_pr(df: DataFrame) -> float:

@@ -143,3 +143,30 @@ def test_metrics_by_key_equal_those_of_each_key(spark):
     assert sorted(got) == list(range(7))
     for kth in got:
         assert got[kth] == {"kth": kth, **_metrics(metrics.evaluate_binary(df.where(f"kth = {kth}")).first())}
+
+
+def _by_evaluator(df):
+    counts = metrics.outcome_counts(df)
+    return metrics.BinaryClassificationEvaluator(rawPredictionCol="prediction", weightCol="n", numBins=0).evaluate(counts)
+
+
+def test_area_under_roc_adds_up_over_ranges_of_scores(spark):
+    draw = random.Random(5)
+    rows = [(float(draw.random() < 0.3), round(draw.gauss(0, 1), 2)) for _ in range(3000)] + [(1.0, float("nan"))]
+    df = frame(spark, rows)
+    expected = _by_evaluator(df)
+    assert metrics.area_under_roc(df) == pytest.approx(expected, abs=1e-12)
+    for rows in ([(1.0, 0.3), (1.0, 0.2)], [(0.0, 0.3)], []):
+        df = spark.createDataFrame(rows, "label double, prediction double")
+        expected = _by_evaluator(df)
+        assert metrics.area_under_roc(df) == expected
+    with pytest.raises(Exception):
+        metrics.area_under_roc(spark.createDataFrame([(1.0, None), (0.0, 0.2)], "label double, prediction double"))
+
+
+def test_area_under_roc_is_added_up_by_tasks_of_sorted_scores(spark, monkeypatch):
+    def evaluator(*_, **__):
+        raise AssertionError("scores were handed to the evaluator of RDDs")
+
+    monkeypatch.setattr(metrics, "BinaryClassificationEvaluator", evaluator)
+    assert metrics.area_under_roc(frame(spark, [(1.0, 0.7), (0.0, 0.2), (1.0, 0.2)])) == pytest.approx(0.75)

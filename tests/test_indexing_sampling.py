@@ -116,3 +116,19 @@ def test_negative_join(spark, indexed):
     dot = top["userVec"][0] * top["itemVec"][0] + top["userVec"][1] * top["itemVec"][1]
     norms = sum(v * v for v in top["userVec"]) ** 0.5 * sum(v * v for v in top["itemVec"]) ** 0.5
     assert scores[0] == pytest.approx(abs(dot) / norms)
+
+
+def test_index_interactions_makes_its_input_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(i % 7, i % 5, 1.0) for i in range(70)] + [(None, 1, 0.0), (1, None, 0.0)]
+    df = spark.createDataFrame(rows, "userId long, itemId long, label double")
+    counted = df.coalesce(1).mapInArrow(seen, df.schema)
+    got = {tuple(r) for r in indexing.index_interactions(counted).collect()}
+    assert made.value == len(rows)
+    assert len(got) == 35 and got == {tuple(r) for r in indexing.index_interactions(df).collect()}
