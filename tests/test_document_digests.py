@@ -94,3 +94,20 @@ def test_applications_with_content_are_counted_by_pairs_of_documents(spark):
     rows += [("x/ab2.pdf", None, True, (("a",),), "x"), ("x/ab2.pdf", "j", None, (("a",),), "x"), (None, "j", True, (("a",),), "x"), ("x/ab3.pdf", "j", False, None, "x")]
     found = {r["metric"]: r["value"] for r in profile_applications(spark.createDataFrame(rows, schema)).collect()}
     assert found == {"rows": 9, "applications": 8, "urls": 3, "item_ids": 2, "user_ids": 3, "pairs": 4, "complete": 6, "complete_with_content": 2}
+
+
+def test_rows_meet_vectors_by_digests_of_one_document_at_a_time(spark, monkeypatch):
+    rows = [
+        ("u", "i", "a", "x", 1.0), ("u", "i", "a", "x", 1.0), ("u", "i", "b", "x", 1.0), (None, "i", "a", "x", None), (None, "i", "a", "x", None),
+        ("v", "i", None, "x", 1.0), ("v", "j", "a", None, 1.0), ("w", "i", "a", "x", float("nan")),
+    ]
+    more = [("u", "j", "a", "x", 1.0), ("u", "j", "b", "y", 1.0), ("u", "j", "b", "y", 1.0)]  # which belongs to which
+    whole, calls = ops.with_doc_keys, []
+    monkeypatch.setattr(ops, "with_doc_keys", lambda df: calls.append(df) or whole(df))
+    for given, read in ((rows, 0), (rows + more, 1)):
+        df = spark.createDataFrame(given, CANONICAL)
+        calls.clear()
+        found = ops.keyed_rows(df).select("userId", "itemId", "userKey", "itemKey", "label")
+        expected = whole(ops.drop_nulls(df, ["userDoc", "itemDoc"])).select(*found.columns)
+        assert len(calls) == read and sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert sorted(ops.keyed_rows(df.select("userDoc", "itemDoc")).collect()) == sorted(expected.select("userKey", "itemKey").collect())
