@@ -132,3 +132,23 @@ def test_index_interactions_makes_its_input_once(spark):
     got = {tuple(r) for r in indexing.index_interactions(counted).collect()}
     assert made.value == len(rows)
     assert len(got) == 35 and got == {tuple(r) for r in indexing.index_interactions(df).collect()}
+
+
+def test_pairs_without_vectors_leave_before_the_draws_are_sorted_out(spark, indexed):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    counted = indexed.coalesce(1).mapInArrow(seen, indexed.schema)
+    users = spark.createDataFrame([(u, [1.0, float(u)]) for u in range(0, 30, 3)], "userId long, userVec array<float>")
+    items = spark.createDataFrame([(float(i), [float(i), 1.0]) for i in range(9)] * 2, "itemId double, itemVec array<float>")
+    pairs = sampling.scored_with_negatives(counted, items, users, k=2).select("userId", "itemId", "label")
+    found = sorted(map(tuple, pairs.collect()))
+    assert made.value == indexed.count()  # stored, and read from there
+    whole = indexed.unionByName(sampling.negatives_per_positive(indexed, 2))
+    assert found == sorted(2 * [tuple(r) for r in whole.where("userId % 3 = 0 and itemId < 9").select("userId", "itemId", "label").collect()])
+    few = sampling.scored_with_negatives(indexed, items, users, k=2, limit=0).select("userId", "itemId", "label")
+    assert sorted(map(tuple, few.collect())) == found  # dictionaries too large to be looked up in place
